@@ -6,12 +6,11 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans.dimensions import load_subject_versions
 from tidemark.plans.flow import Sources, incremental_load, initial_load
 from tidemark.plans.operational import import_history
 from tidemark.plans.staging import Warehouse
 from tidemark.schemas import BABY_INFO, DIAPER_DATA, SLEEP_DATA
-from tidemark.sources.readers import read_csv
+from tidemark.sources.readers import fan_out, read_csv
 
 UTC = timezone.utc
 
@@ -102,10 +101,11 @@ def star(spark, tmp_path_factory):
         entry = {"id": row.id, "status": row.status, "change_time": row.change_time.strftime("%Y-%m-%dT%H:%M:%S+00:00")}
         (folder / f"{row.id}.json").write_text(json.dumps([entry]))
 
+    documents = fan_out(spark, str(docs), ["id", "change_time", "status"], "parent_id", multiline=True)
     wh = Warehouse(spark, str(base / "wh"), at("2026-04-21T19:35"))
     first = initial_load(
         wh,
-        Sources(subject, slept.good, str(base / "amounts.csv"), status_documents=str(docs), multiline=True),
+        Sources(subject, slept.good, str(base / "amounts.csv"), status_documents=documents),
         at("2026-04-21T00:00"),
     )
     snapshot = {t: wh.tables.read(t).count() for t in ("fact_sleep", "fact_diaper", "fact_formula_feed", "dim_baby", "dim_diaper_status", "dim_date", "dim_time", "stg_formula")}

@@ -1,16 +1,22 @@
-"""Typing of raw text. Every coercion yields a value and an error column.
+"""Typing of raw text. Every coercion yields a value, an error and a text column.
 
 All expressions are built-in functions, so a mapping of many fields stays in a
 single generated stage. Nothing raises at run time: a value that cannot be
 typed becomes NULL with an error text, which sends its row to quarantine.
+
+A coercion is a list of steps, each naming columns that later steps refer to.
+``add_typed`` turns the steps into stacked projections. That way the text of a
+field is cleaned once per row, where one nested expression would repeat the
+cleaning in every branch.
 """
 
 from __future__ import annotations
 
 import re
-from typing import NamedTuple
+from dataclasses import dataclass
+from itertools import zip_longest
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # The characters counted as white space around a field.
 WHITESPACE = (
@@ -45,55 +51,69 @@ _DIRECTIVES = {
 _ZONE = r"(?:Z|[+-]\d{2}:?[0-5]\d)"
 
 
-class Coerced(NamedTuple):
-    value: Column
-    error: Column
+def clean_text(col: Column) -> Column:
+    """Text without surrounding white space; blank becomes NULL."""
+    return F.nullif(F.btrim(col.cast("string"), F.lit(WHITESPACE)), F.lit(""))
 
 
-class Instant(NamedTuple):
-    """A typed event time.
+def clean_status(col: Column) -> Column:
+    return F.lower(F.btrim(col.cast("string"), F.lit(WHITESPACE)))
 
-    ``value`` is the UTC instant. ``text`` is the wall clock and offset as
-    written in the source (``2024-01-28 19:08:00+00:00``), which content hashes
-    use.
+
+@dataclass(frozen=True)
+class Typed:
+    """Names of the columns a coercion adds.
+
+    ``value`` is the typed value, ``error`` the reason where there is none, and
+    ``text`` the value as content hashes see it.
     """
 
-    value: Column
-    error: Column
-    text: Column
+    value: str
+    error: str
+    text: str
 
 
-def _failed(value: Column, target: str) -> Column:
-    return F.concat(F.lit("Cannot convert '"), value, F.lit(f"' to {target}"))
+Steps = list[dict[str, Column]]
 
 
-def _no_error() -> Column:
-    return F.lit(None).cast("string")
+def typed_names(name: str) -> Typed:
+    return Typed(f"__{name}_value", f"__{name}_error", f"__{name}_text")
 
 
-def clean_text(col: Column) -> Column:
-    """Text without surrounding white space; blank becomes NULL."""
-    return F.nullif(F.btrim(col.cast("string"), F.lit(WHITESPACE)), F.lit(""))
+def add_typed(df: DataFrame, *coercions: Steps) -> DataFrame:
+    """Adds the columns of several coercions, one projection per level of steps."""
+    for level in zip_longest(*coercions, fillvalue={}):
+        df = df.withColumns({name: col for step in level for name, col in step.items()})
+    return df
 
 
-def clean_status(col: Column) -> Column:
-    return F.lower(F.btrim(col.cast("string"), F.lit(WHITESPACE)))
+def _failed(text: Column, target: str) -> Column:
+    return F.concat(F.lit("Cannot convert '"), text, F.lit(f"' to {target}"))
 
 
-def to_text(col: Column) -> Coerced:
-    return Coerced(clean_text(col), _no_error())
+def text_steps(source: Column, name: str) -> Steps:
+    out = typed_names(name)
+    return [
+        {out.value: clean_text(source)},
+        {out.error: F.lit(None).cast("string"), out.text: F.col(out.value)},
+    ]
 
 
-def to_non_negative_int(col: Column) -> Coerced:
-    """32-bit integer >= 0. Blank is NULL; a sign or digits alone are accepted."""
-    text = clean_text(col)
-    number = F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("int"))
-    error = (
-        F.when(text.isNull(), _no_error())
-        .when(text.rlike(r"^-0*[1-9][0-9]*$"), _failed(text, "non-negative int"))
-        .when(number.isNull(), _failed(text, "int"))
-    )
-    return Coerced(F.when(error.isNull(), number), error)
+def int_steps(source: Column, name: str) -> Steps:
+    """32-bit integer >= 0. Blank is NULL; digits with or without a sign are accepted."""
+    out, text, number = typed_names(name), F.col(f"__{name}_clean"), F.col(f"__{name}_number")
+    negative = (number < 0) | text.rlike("^-[0-9]+$")
+    return [
+        {f"__{name}_clean": clean_text(source)},
+        {f"__{name}_number": text.try_cast("int")},
+        {
+            out.value: F.when(number >= 0, number),
+            out.error: F.when(text.isNull() | (number >= 0), F.lit(None))
+            .when(negative, _failed(text, "non-negative int"))
+            .otherwise(_failed(text, "int")),
+            out.text: number.cast("string"),
+        },
+    ]
 
 
 def _spark_pattern(fmt: str) -> str:
@@ -116,64 +136,84 @@ def _naive(text: Column, formats: list[str]) -> Column:
     A cheap shape test guards each parse, so a value is only handed to the
     formats that can match it instead of failing through the whole list.
     """
-    squeezed = F.regexp_replace(text, r"\s+", " ")
     return F.coalesce(
         *[
-            F.when(text.rlike(_shape(f)), F.try_to_timestamp(squeezed, F.lit(_spark_pattern(f))))
+            F.when(text.rlike(_shape(f)), F.try_to_timestamp(text, F.lit(_spark_pattern(f))))
             for f in formats
         ]
     )
 
 
-def _wall_text(wall: Column) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` with microseconds only where there are any."""
-    micros = F.date_format(wall, ".SSSSSS")
-    return F.concat(
-        F.date_format(wall, "yyyy-MM-dd HH:mm:ss"),
-        F.when(micros == ".000000", F.lit("")).otherwise(micros),
-    )
+def wall_text(wall: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss``, with six digits of a second only where there are any."""
+    text = wall.cast("string")
+    return F.when(F.length(text) > 19, F.rpad(text, 26, "0")).otherwise(text)
+
 
+def iso_seconds(instant: Column) -> Column:
+    """``yyyy-MM-ddTHH:mm:ss`` in the form documents use."""
+    return F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss")
 
-def to_instant(col: Column, dtype: T.DataType | None = None, fmt: str | None = None) -> Instant:
+
+def instant_steps(
+    source: Column, name: str, dtype: T.DataType | None = None, fmt: str | None = None
+) -> Steps:
     """UTC instant from text in the caller's format or any of TIMESTAMP_FORMATS.
 
     A time without a zone is UTC. Columns that already hold timestamps pass
-    through unchanged.
+    through unchanged. The text keeps the wall clock and offset of the source
+    (``2024-01-28 19:08:00+02:00``).
     """
+    out = typed_names(name)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         offset = "+00:00" if isinstance(dtype, T.TimestampType) else ""
-        value = col.cast("timestamp")
-        return Instant(value, _no_error(), F.concat(_wall_text(value), F.lit(offset)))
+        return [
+            {out.value: source.cast("timestamp")},
+            {
+                out.error: F.lit(None).cast("string"),
+                out.text: F.concat(wall_text(F.col(out.value)), F.lit(offset)),
+            },
+        ]
 
     order = ([fmt] if fmt else []) + [f for f in TIMESTAMP_FORMATS if f != fmt]
     zoned = [f.removesuffix("%z") for f in order if f.endswith("%z")]
     plain = [f for f in order if not f.endswith("%z")]
-
-    text = clean_text(col)
-    has_zone = text.rlike(rf"T.*{_ZONE}$")
-    zone = F.regexp_extract(text, rf"({_ZONE})$", 1)
-    digits = F.regexp_replace(zone, "[^0-9]", "")
-    minutes = F.when(zone == "Z", F.lit(0)).otherwise(
-        F.substring(digits, 1, 2).try_cast("int") * 60 + F.substring(digits, 3, 2).try_cast("int")
+    text, zone = F.col(f"__{name}_clean"), F.col(f"__{name}_zone")
+    wall, minutes = F.col(f"__{name}_wall"), F.col(f"__{name}_minutes")
+    written = F.regexp_extract(text, f"T.*({_ZONE})$", 1)
+    digits = F.regexp_replace(written, "[^0-9]", "")
+    offset = F.concat(
+        F.substring(written, 1, 1), F.substring(digits, 1, 2), F.lit(":"), F.substring(digits, 3, 2)
     )
-    offset_minutes = F.when(zone.startswith("-"), -minutes).otherwise(minutes)
-    zone_text = F.when(zone == "Z", F.lit("+00:00")).otherwise(
-        F.concat(
-            F.substring(zone, 1, 1), F.substring(digits, 1, 2), F.lit(":"), F.substring(digits, 3, 2)
-        )
-    )
-
-    # A day has 24 hours: a larger offset is no valid zone.
-    valid_zone = has_zone & (minutes < 24 * 60)
-    wall = F.when(valid_zone, _naive(F.regexp_replace(text, rf"{_ZONE}$", ""), zoned)).otherwise(
-        _naive(text, plain)
+    clock = F.expr(f"left(`__{name}_clean`, length(`__{name}_clean`) - length(`__{name}_written`))")
+    sign = F.when(zone.startswith("-"), F.lit(-1)).otherwise(F.lit(1))
+    parsed = (
+        F.when(zone.isNull(), _naive(F.col(f"__{name}_clean"), plain))
+        .when(F.abs(minutes) < 24 * 60, _naive(F.col(f"__{name}_clock"), zoned))
     )
-    value = F.when(
-        valid_zone, F.timestamp_micros(F.unix_micros(wall) - offset_minutes.cast("long") * 60_000_000)
-    ).otherwise(wall)
-    rendered = F.concat(_wall_text(wall), F.when(valid_zone, zone_text).otherwise(F.lit("")))
-    error = F.when(text.isNotNull() & value.isNull(), _failed(text, "datetime"))
-    return Instant(value, error, rendered)
+    squeezed = F.regexp_replace(clean_text(source), r"\s+", " ")
+    return [
+        {f"__{name}_clean": squeezed},
+        {f"__{name}_written": written},
+        {
+            f"__{name}_zone": F.when(F.col(f"__{name}_written") == "Z", F.lit("+00:00")).when(
+                F.col(f"__{name}_written") != "", offset
+            ),
+            f"__{name}_clock": clock,
+        },
+        {
+            f"__{name}_minutes": sign
+            * (F.substring(zone, 2, 2).cast("int") * 60 + F.substring(zone, 5, 2).cast("int"))
+        },
+        {f"__{name}_wall": parsed},
+        {
+            out.value: F.when(zone.isNull(), wall).otherwise(
+                F.timestamp_micros(F.unix_micros(wall) - minutes.cast("long") * 60_000_000)
+            ),
+            out.error: F.when(text.isNotNull() & wall.isNull(), _failed(text, "datetime")),
+            out.text: F.concat(wall_text(wall), F.coalesce(zone, F.lit(""))),
+        },
+    ]
 
 
 def wall_clock_to_utc(wall: Column, zone: Column | str) -> Column:

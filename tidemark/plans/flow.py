@@ -16,20 +16,23 @@ from tidemark.plans.staging import Warehouse
 
 @dataclass(frozen=True)
 class Sources:
-    """Operational tables, the directory of status documents, the amounts file."""
+    """Operational tables and landed files.
+
+    An initial load takes statuses from ``status_documents``, an incremental
+    one from the ``statuses`` table. ``amounts`` is the path of a CSV file.
+    """
 
     subjects: DataFrame
     durations: DataFrame
     amounts: str
     statuses: DataFrame | None = None
-    status_documents: str | None = None
-    multiline: bool = False
+    status_documents: DataFrame | None = None
 
 
 def initial_load(wh: Warehouse, src: Sources, when: datetime, dag: str = "initial") -> dict[str, Outcome]:
     done = {
         "stg_baby": s.stage_subjects(wh, dag, when, src.subjects),
-        "stg_diaper": s.stage_status_documents(wh, dag, when, src.status_documents, src.multiline),
+        "stg_diaper": s.stage_status_documents(wh, dag, when, src.status_documents),
         "stg_sleep": s.stage_durations(wh, dag, when, src.durations),
         "stg_formula": s.stage_amounts(wh, dag, when, src.amounts),
         "dim_date": d.load_dates(wh, dag, when),

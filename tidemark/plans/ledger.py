@@ -34,6 +34,7 @@ def _literal(value: object) -> Column:
 class Ledger:
     def __init__(self, spark: SparkSession, path: str, clock: Callable[[], datetime] = _now):
         self.spark, self.path, self.clock = spark, path.rstrip("/"), clock
+        self._used: dict[str, int] = {}
 
     def log(self) -> DataFrame:
         jvm = self.spark._jvm
@@ -47,13 +48,25 @@ class Ledger:
         """One row per run in its latest state."""
         return latest_state(self.log()).select(*LEDGER.fieldNames())
 
-    def _top(self, column: str) -> int:
-        return self.log().agg(F.max(column)).first()[0] or 0
+    def _runs_where(self, condition: Column) -> DataFrame:
+        """Latest states of a few runs, chosen by what never changes in a run.
+
+        Their states are a handful of rows, so they are reduced in one task
+        instead of a shuffle.
+        """
+        return latest_state(self.log().where(condition).coalesce(1)).select(*LEDGER.fieldNames())
+
+    def _next(self, column: str) -> int:
+        """Next number of a counter; read once, since this is the only writer."""
+        if column not in self._used:
+            self._used[column] = self.log().agg(F.max(column)).first()[0] or 0
+        self._used[column] += 1
+        return self._used[column]
 
     def _append(self, states: DataFrame) -> int:
         """Writes new states and returns how many there were."""
         seen = Observation()
-        numbered = states.withColumn("seq", F.lit(self._top("seq") + 1).cast("long"))
+        numbered = states.withColumn("seq", F.lit(self._next("seq")).cast("long"))
         (
             numbered.select(*[F.col(f.name).cast(f.dataType) for f in _LOG.fields])
             .coalesce(1)
@@ -65,12 +78,12 @@ class Ledger:
 
     def _change(self, job_id: int, **values: object) -> None:
         """A further state of a run, equal to its last but for ``values``."""
-        current = self.runs().where(F.col("job_id") == job_id)
+        current = self._runs_where(F.col("job_id") == job_id)
         if self._append(current.withColumns({n: _literal(v) for n, v in values.items()})) == 0:
             raise RuntimeError(f"Run {job_id} was never started")
 
     def start(self, dag_id: str, task_id: str, logical_date: datetime) -> int:
-        job_id = self._top("job_id") + 1
+        job_id = self._next("job_id")
         first = {
             "job_id": job_id, "dag_id": dag_id, "task_id": task_id,
             "logical_date": logical_date, "status": "running",
@@ -114,13 +127,19 @@ class Ledger:
         )
 
     def is_done(self, dag_id: str, task_id: str, logical_date: datetime) -> bool:
-        same = self._same_run(dag_id, task_id, logical_date)
-        return has_run(self.runs(), same & (F.col("status") == "success"))
+        return self.earlier(dag_id, task_id, logical_date)[0]
 
     def find_running(self, dag_id: str, task_id: str, logical_date: datetime) -> int | None:
-        same = self._same_run(dag_id, task_id, logical_date)
-        running = self.runs().where(same & (F.col("status") == "running"))
-        return running.agg(F.max("job_id")).first()[0]
+        return self.earlier(dag_id, task_id, logical_date)[1]
+
+    def earlier(self, dag_id: str, task_id: str, logical_date: datetime) -> tuple[bool, int | None]:
+        """Whether this run already succeeded, and the newest attempt still running."""
+        attempts = self._runs_where(self._same_run(dag_id, task_id, logical_date))
+        done, running = attempts.agg(
+            F.coalesce(F.bool_or(F.col("status") == "success"), F.lit(False)),
+            F.max(F.when(F.col("status") == "running", F.col("job_id"))),
+        ).first()
+        return done, running
 
     def is_file_loaded(self, path: str) -> bool:
         return has_run(
@@ -190,9 +209,9 @@ def run_job(
     resumed under its id. A failure is recorded with the step it happened in
     and raised again.
     """
-    if ledger.is_done(dag_id, spec.task_id, logical_date):
+    done, job_id = ledger.earlier(dag_id, spec.task_id, logical_date)
+    if done:
         return Outcome("skipped")
-    job_id = ledger.find_running(dag_id, spec.task_id, logical_date)
     if job_id is None:
         job_id = ledger.start(dag_id, spec.task_id, logical_date)
     step = "load_type_check"

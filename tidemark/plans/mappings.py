@@ -7,19 +7,26 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.coerce import Coerced, to_instant, to_non_negative_int, to_text
+from tidemark.functions.coerce import (
+    Steps,
+    add_typed,
+    instant_steps,
+    int_steps,
+    text_steps,
+    typed_names,
+)
 from tidemark.functions.hashing import derived_id, row_hash
 from tidemark.sinks.quarantine import raw_json
 
 
 @dataclass(frozen=True)
 class Field:
-    """``kind`` is int, text or timestamp, or a function from a text column to
-    ``Coerced`` (a place for a custom, for example vectorised, coercion)."""
+    """``kind`` is int, text or timestamp, or a function of the source column and
+    the field name that yields the steps of a custom coercion."""
 
     name: str
     source: str
-    kind: str | Callable[[Column], Coerced]
+    kind: str | Callable[[Column, str], Steps]
     fmt: str | None = None
 
 
@@ -95,42 +102,41 @@ def map_rows(df: DataFrame, mapping: Mapping, parent_id: Column | None = None) -
     field that cannot be typed gives the error; good rows have none. An
     explicit ``parent_id`` wins over the row's own.
     """
-    values: dict[str, Column] = {}
-    texts: dict[str, Column] = {}
-    errors: list[Column] = []
+    coercions: list[Steps] = []
     for field in mapping.fields:
         if field.name == mapping.parent and parent_id is not None:
-            values[field.name] = texts[field.name] = parent_id.cast("int")
             continue
         present = field.source in df.columns
         source = F.col(f"`{field.source}`") if present else F.lit(None).cast("string")
         if field.kind == "timestamp":
             dtype = df.schema[field.source].dataType if present else None
-            typed = to_instant(source, dtype, field.fmt)
-            texts[field.name] = typed.text
+            coercions.append(instant_steps(source, field.name, dtype, field.fmt))
+        elif isinstance(field.kind, str):
+            coercions.append({"int": int_steps, "text": text_steps}[field.kind](source, field.name))
         else:
-            kinds = {"int": to_non_negative_int, "text": to_text}
-            coercion = kinds[field.kind] if isinstance(field.kind, str) else field.kind
-            typed = coercion(source)
-            texts[field.name] = typed.value
-        values[field.name] = typed.value
-        errors.append(typed.error)
-
-    if mapping.parent and mapping.default_parent is not None:
+            coercions.append(field.kind(source, field.name))
+    typed = add_typed(df.withColumn("raw", raw_json(df.columns)), *coercions)
+
+    names = {field.name: typed_names(field.name) for field in mapping.fields}
+    values = {name: F.col(n.value) for name, n in names.items()}
+    texts = {name: F.col(n.text) for name, n in names.items()}
+    errors = [F.col(n.error) for n in names.values()]
+    if mapping.parent and parent_id is not None:
+        values[mapping.parent] = texts[mapping.parent] = parent_id.cast("int")
+        errors = [F.col(n.error) for name, n in names.items() if name != mapping.parent]
+    elif mapping.parent and mapping.default_parent is not None:
         parent = F.coalesce(values[mapping.parent], F.lit(mapping.default_parent))
         values[mapping.parent] = texts[mapping.parent] = parent
     if mapping.id_from:
         made = derived_id(texts[mapping.id_from], values[mapping.parent])
         key = mapping.fields[0].name
-        values[key] = texts[key] = F.coalesce(values[key].cast("string"), made)
+        values[key] = F.coalesce(values[key].cast("string"), made)
+        typed = typed.withColumn("__id", values[key])
+        values[key] = texts[key] = F.col("__id")
 
-    # Typed values and texts are computed once, then hashed.
-    typed = df.select(
+    return typed.select(
         *[v.alias(n) for n, v in values.items()],
-        *[t.alias(f"__t_{n}") for n, t in texts.items()],
-        raw_json(df.columns).alias("raw"),
+        "raw",
         F.coalesce(*errors).alias("error_message"),
-    )
-    return typed.withColumn("row_hash", row_hash([F.col(f"__t_{n}") for n in texts])).drop(
-        *[f"__t_{n}" for n in texts]
+        row_hash(list(texts.values())).alias("row_hash"),
     )

@@ -12,7 +12,7 @@ from tidemark.plans import mappings as m
 from tidemark.plans.ledger import JobSpec, Ledger, Outcome, from_micros, run_job
 from tidemark.sinks.quarantine import quarantine_rows, write_quarantine
 from tidemark.sinks.tables import Tables
-from tidemark.sources.readers import after_mark, fan_out, read_csv
+from tidemark.sources.readers import after_mark, read_csv
 
 
 @dataclass
@@ -136,17 +136,19 @@ def stage_new_statuses(wh: Warehouse, dag: str, when: datetime, table: DataFrame
 
 
 def stage_status_documents(
-    wh: Warehouse, dag: str, when: datetime, path: str, multiline: bool = False
+    wh: Warehouse, dag: str, when: datetime, documents: DataFrame
 ) -> Outcome:
-    """Stages the documents below ``path/parent_id=<id>/`` of all staged subjects."""
+    """Stages the documents of all staged subjects.
+
+    ``documents`` carry the subject in ``parent_id``, as ``fan_out`` yields
+    them; those of subjects that were not staged are left out.
+    """
 
     def work(job_id: int) -> Outcome:
-        subjects = wh.tables.read("stg_baby").select("source_id").distinct()
-        docs = fan_out(
-            wh.spark, path, ["id", "change_time", "status"], "parent_id", subjects, multiline
-        )
+        subjects = wh.tables.read("stg_baby").select(F.col("source_id").alias("parent_id"))
+        known = documents.join(subjects.distinct(), "parent_id", "left_semi")
         return stage_rows(
-            wh, STAGE_STATUS_DOCUMENTS, docs, m.STATUS_DOCUMENT, job_id, "change_time",
+            wh, STAGE_STATUS_DOCUMENTS, known, m.STATUS_DOCUMENT, job_id, "change_time",
             parent_id=F.col("parent_id"),
         )
 
