@@ -96,7 +96,8 @@ AMOUNT_FILE = Mapping(
 
 
 def map_rows(df: DataFrame, mapping: Mapping, parent_id: Column | None = None) -> DataFrame:
-    """Types every row: business columns, ``row_hash``, ``raw``, ``error_message``.
+    """Types every row: business columns, ``row_hash``, ``error_message`` and,
+    for bad rows, ``raw``.
 
     Extra source columns are ignored and missing ones read NULL. The first
     field that cannot be typed gives the error; good rows have none. An
@@ -115,7 +116,7 @@ def map_rows(df: DataFrame, mapping: Mapping, parent_id: Column | None = None) -
             coercions.append({"int": int_steps, "text": text_steps}[field.kind](source, field.name))
         else:
             coercions.append(field.kind(source, field.name))
-    typed = add_typed(df.withColumn("raw", raw_json(df.columns)), *coercions)
+    typed = add_typed(df, *coercions)
 
     names = {field.name: typed_names(field.name) for field in mapping.fields}
     values = {name: F.col(n.value) for name, n in names.items()}
@@ -134,9 +135,14 @@ def map_rows(df: DataFrame, mapping: Mapping, parent_id: Column | None = None) -
         typed = typed.withColumn("__id", values[key])
         values[key] = texts[key] = F.col("__id")
 
-    return typed.select(
+    error = F.coalesce(*errors)
+    row = F.struct(
         *[v.alias(n) for n, v in values.items()],
-        "raw",
-        F.coalesce(*errors).alias("error_message"),
+        F.when(error.isNotNull(), raw_json(df.columns)).alias("raw"),
+        error.alias("error_message"),
         row_hash(list(texts.values())).alias("row_hash"),
     )
+    # A generator of one row. The optimizer does not move filters below it, so
+    # the split on error_message tests a finished column instead of repeating
+    # the whole typing inside a pushed-down filter.
+    return typed.select(F.inline(F.array(row)))

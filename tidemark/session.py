@@ -15,11 +15,14 @@ def configure(spark: SparkSession) -> SparkSession:
 
     Every instant is handled in UTC, so the date and time keys of an event do
     not depend on where the driver runs. AQE coalesces small partitions and
-    splits skewed ones.
+    splits skewed ones. Typing many text fields makes generated methods that
+    the JVM refuses to compile beyond 8000 bytes of bytecode; the method limit
+    makes Spark generate such a stage in smaller pieces instead.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 
