@@ -19,7 +19,7 @@ WITH j AS (
   SELECT event_id,
     CASE WHEN event_type NOT IN ('click', 'view') THEN 'valid_status' END AS a,
     CASE WHEN ts > TIMESTAMP '2024-01-20' THEN 'not_future' END AS b,
-    CASE WHEN value < 5 THEN 'positive_duration' END AS c,
+    CASE WHEN value <= 5 THEN 'positive_duration' END AS c,
     CASE WHEN user_id = 0 THEN 'positive_user_id' END AS d
   FROM events)
 SELECT event_id, concat_ws(',', a, b, c, d) AS failed, coalesce(a, b, c, d) AS first_failed FROM j""")
@@ -27,7 +27,7 @@ def rule_violations(spark: SparkSession, path: str) -> DataFrame:
     """Every failed rule of every event, and the first of them."""
     events = table(spark, path, "events").select(
         "event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"),
-        (F.col("value") - 5 + F.lit(1e-9)).alias("duration"),
+        (F.col("value") - 5).alias("duration"),
         F.expr("CASE event_type WHEN 'click' THEN ' Wet' WHEN 'view' THEN 'DIRTY ' ELSE event_type END").alias(
             "status"
         ),

@@ -7,8 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.catalog import query, table
-from tidemark.functions.coerce import add_typed, clean_text, instant_steps, iso_seconds, typed_names
-from tidemark.functions.keys import date_key, month_key, time_key
+from tidemark.functions.coerce import add_typed, instant_steps, iso_seconds, typed_names
+from tidemark.functions.keys import date_key, month_key
 from tidemark.operators.lineage import only_batches
 from tidemark.sinks.tables import Tables, read_fact
 from tidemark.sources import after_mark, fan_out, listing, lookup, read_csv, read_json, read_source
