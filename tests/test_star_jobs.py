@@ -257,7 +257,7 @@ def test_several_changes_in_one_batch(spark, tmp_path):
     for collapse, expected in ((True, [(1, "B"), (2, "X"), (2, "Y")]),
                                (False, [(1, "A"), (1, "B"), (2, "X"), (2, "Y")])):
         changes = scd2.compare_with_current(batch, dim, by, "value", collapse)
-        opened = scd2.new_versions(changes, by, collapse)
+        opened = scd2.new_versions(changes, by)
         assert sorted((r.nk, r.attr) for r in opened.collect()) == expected
         current = opened.where("is_current").groupBy("nk").count().collect()
         assert all(r["count"] == 1 for r in current) and len(current) == 2

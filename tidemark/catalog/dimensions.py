@@ -198,7 +198,7 @@ def _merge(spark: SparkSession, path: str, collapse: bool) -> DataFrame:
     base, batch = _base_and_batch(spark, path)
     by = BY_TYPE if collapse else scd2.VersionedBy("user_id", "event_type", "ts", ("ts", "event_id"))
     changes = scd2.compare_with_current(batch, base, by, "attr", collapse)
-    opened = _output(scd2.new_versions(changes, by, collapse))
+    opened = _output(scd2.new_versions(changes, by))
     kept = scd2.expire_current(base, scd2.expiry(changes, by), "user_id", F.lit(None))
     return kept.withColumnRenamed("user_id", "nk").unionByName(opened)
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tidemark.functions.keys import instant
 from tidemark.operators.carry import Ordered
 from tidemark.operators.dedup import first_per_key
+from tidemark.operators.lookup import lookup_join
 
 # Fixed values
 FAR_FUTURE = datetime(2099, 12, 31, 23, 59, 59)
@@ -22,6 +23,8 @@ UNKNOWN_FROM = datetime(1900, 1, 1)
 UNKNOWN_TO = datetime(2099, 12, 31)
 UNKNOWN_KEY = -1
 
+NEXT = "__next"
+
 
 @dataclass(frozen=True)
 class VersionedBy:
@@ -82,15 +85,8 @@ def _changes(batch: DataFrame, by: VersionedBy) -> Ordered:
 
 def version_history(batch: DataFrame, by: VersionedBy) -> DataFrame:
     """Every version of every member in a log of snapshots."""
-    kind = batch.schema[by.effective].dataType
-    rows = _changes(batch, by).with_next("__next", F.col(by.effective))
-    return (
-        rows.rows()
-        .withColumn("valid_from", F.col(by.effective))
-        .withColumn("valid_to", F.coalesce("__next", instant(FAR_FUTURE, kind)))
-        .withColumn("is_current", F.col("__next").isNull())
-        .drop("__next", "prev_attr")
-    )
+    rows = _changes(batch, by).with_next(NEXT, F.col(by.effective))
+    return _chained(rows.rows().drop("prev_attr"), by)
 
 
 def unknown_member(spark: SparkSession, columns: dict[str, Column]) -> DataFrame:
@@ -112,10 +108,6 @@ def compare_with_current(
     that returns within the batch opens no second version; without it the
     batch is read as a history.
     """
-    if collapse_repeats:
-        candidates = earliest_per_attribute(batch, by)
-    else:
-        candidates = changed_rows(batch, by)
     members = batch.select(by.nk).distinct()
     current = (
         dimension.where("is_current")
@@ -124,30 +116,36 @@ def compare_with_current(
         )
         .join(members, by.nk, "left_semi")
     )
-    compared = candidates.join(current, by.nk, "left").withColumn(
-        "known", F.coalesce("known", F.lit(False))
-    )
-    differs = ~F.col("current_attr").eqNullSafe(F.col(by.attr))
+    known = F.coalesce("known", F.lit(False))
     if collapse_repeats:
-        return compared.where(~F.col("known") | differs)
-    first = F.col("prev_attr").isNull()
-    return compared.where(~F.col("known") | ~first | differs).drop("prev_attr")
+        compared = earliest_per_attribute(batch, by).join(current, by.nk, "left")
+        differs = ~F.col("current_attr").eqNullSafe(F.col(by.attr))
+        return compared.withColumn("known", known).where(~F.col("known") | differs)
+
+    compared = lookup_join(batch, current, by.nk, by.order[0]).withColumn("known", known)
+    rows = Ordered(compared, by.nk, by.order).with_previous("__prev", F.struct(F.col(by.attr)))
+    first = F.col("__prev").isNull()
+    before = F.when(first, F.col("current_attr")).otherwise(F.col("__prev")[by.attr])
+    opens = (first & ~F.col("known")) | ~before.eqNullSafe(F.col(by.attr))
+    return rows.where(opens).with_next(NEXT, F.col(by.effective)).rows().drop("__prev")
 
 
-def new_versions(changes: DataFrame, by: VersionedBy, collapse_repeats: bool = True) -> DataFrame:
+def new_versions(changes: DataFrame, by: VersionedBy) -> DataFrame:
     """Chains the changes of a member: each is valid until the next begins."""
-    kind = changes.schema[by.effective].dataType
-    if collapse_repeats:
-        # one row per attribute value and member
+    if NEXT not in changes.columns:
+        # collapsed: one row per attribute value and member
         chain = Window.partitionBy(by.nk).orderBy(*by.order)
-        chained = changes.withColumn("__next", F.lead(by.effective).over(chain))
-    else:
-        chained = Ordered(changes, by.nk, by.order).with_next("__next", F.col(by.effective)).rows()
+        changes = changes.withColumn(NEXT, F.lead(by.effective).over(chain))
+    return _chained(changes, by)
+
+
+def _chained(rows: DataFrame, by: VersionedBy) -> DataFrame:
+    kind = rows.schema[by.effective].dataType
     return (
-        chained.withColumn("valid_from", F.col(by.effective))
-        .withColumn("valid_to", F.coalesce("__next", instant(FAR_FUTURE, kind)))
-        .withColumn("is_current", F.col("__next").isNull())
-        .drop("__next")
+        rows.withColumn("valid_from", F.col(by.effective))
+        .withColumn("valid_to", F.coalesce(NEXT, instant(FAR_FUTURE, kind)))
+        .withColumn("is_current", F.col(NEXT).isNull())
+        .drop(NEXT)
     )
 
 

@@ -184,7 +184,7 @@ def load_subject_versions(
             if changes.isEmpty():
                 return Outcome("success", job_id)
             opened = assign_keys(
-                scd2.new_versions(changes, by, collapse_repeats),
+                scd2.new_versions(changes, by),
                 [by.nk, "valid_from", "timezone"],
                 "baby_sk",
                 existing=dimension,
