@@ -13,6 +13,7 @@ from tidemark.operators.series import date_members, time_members
 from tidemark.operators.surrogate import assign_keys
 from tidemark.plans.dimensions import FIRST_DATE, LAST_DATE, UNKNOWN_STATUS
 from tidemark.plans.facts import events_without_date
+from tidemark.session import materialise
 
 CUT = "TIMESTAMP_NTZ'2024-01-15'"
 NO_END = "TIMESTAMP '2099-12-31 23:59:59'"
@@ -197,7 +198,7 @@ def _base_and_batch(spark: SparkSession, path: str) -> tuple[DataFrame, DataFram
 def _merge(spark: SparkSession, path: str, collapse: bool) -> DataFrame:
     base, batch = _base_and_batch(spark, path)
     by = BY_TYPE if collapse else scd2.VersionedBy("user_id", "event_type", "ts", ("ts", "event_id"))
-    changes = scd2.compare_with_current(batch, base, by, "attr", collapse)
+    changes = materialise(scd2.compare_with_current(batch, base, by, "attr", collapse), "changes")
     opened = _output(scd2.new_versions(changes, by))
     kept = scd2.expire_current(base, scd2.expiry(changes, by), "user_id", F.lit(None))
     return kept.withColumnRenamed("user_id", "nk").unionByName(opened)
@@ -215,7 +216,7 @@ SELECT nk, min(ts) AS expires_at, count(*) AS n_changes FROM changes WHERE known
 def scd2_expiry(spark: SparkSession, path: str) -> DataFrame:
     """When the open version of each changed subject ends."""
     base, batch = _base_and_batch(spark, path)
-    changes = scd2.compare_with_current(batch, base, BY_TYPE, "attr")
+    changes = materialise(scd2.compare_with_current(batch, base, BY_TYPE, "attr"), "changes")
     counts = changes.where("known").groupBy("user_id").agg(F.count(F.lit(1)).alias("n_changes"))
     return scd2.expiry(changes, BY_TYPE).join(counts, "user_id").select(
         F.col("user_id").alias("nk"), "expires_at", "n_changes"

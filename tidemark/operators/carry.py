@@ -1,8 +1,9 @@
 """Looking at the neighbouring row of the same key, safely for hot keys.
 
 ``LAG``, ``LEAD`` and as-of lookups all carry a value along the rows of a key.
-Rows are windowed per (key, slice); what a slice needs from the slices before
-or after it comes from a small summary with one row per slice of a hot key.
+Without hot keys that is a plain window. With hot keys, rows are windowed per
+(key, slice), and what a slice needs from those before or after it comes from
+a small summary with one row per slice of a hot key.
 """
 
 from __future__ import annotations
@@ -11,20 +12,29 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.operators.skew import HOT, SLICE, hot_keys, with_slice
+from tidemark.operators.skew import HOT, SLICE, HotKeys, hot_keys, with_slice
 
 
 class Ordered:
     """The rows of ``df`` per ``key`` in the order of ``order``.
 
     The first order column cuts hot keys into slices. The rows must be unique
-    on key and order, and key and first order column must not be NULL.
+    on key and order, and key and first order column must not be NULL. ``hot``
+    saves measuring rows that come from others already measured; any hot keys
+    give the same result.
     """
 
-    def __init__(self, df: DataFrame, key: str, order: Sequence[str], parts: int | None = None):
+    def __init__(
+        self,
+        df: DataFrame,
+        key: str,
+        order: Sequence[str],
+        parts: int | None = None,
+        hot: HotKeys | None = None,
+    ):
         self.key, self.order = key, list(order)
-        hot = hot_keys(df, key, self.order[0], parts)
-        self.df = with_slice(df, hot, key, self.order[0])
+        self.hot = hot_keys(df, key, self.order[0], parts) if hot is None else hot
+        self.df = with_slice(df, self.hot, self.order[0]) if self.hot else df
 
     def where(self, condition: Column | str) -> Ordered:
         self.df = self.df.where(condition)
@@ -39,34 +49,33 @@ class Ordered:
         return self._carry(name, value, -1, forward=False)
 
     def _carry(self, name: str, value: Column, end: int, forward: bool) -> Ordered:
-        rows = self.df.withColumn("__value", value)
-        ranks = [F.col(c) if forward else F.col(c).desc() for c in self.order]
-        near = (
-            Window.partitionBy(self.key, SLICE)
-            .orderBy(*ranks)
-            .rowsBetween(Window.unboundedPreceding, end)
-        )
+        def carried(source: Column | str, by: list[str], order: list[str], end: int) -> Column:
+            ranks = [F.col(c) if forward else F.col(c).desc() for c in order]
+            frame = Window.partitionBy(*by).orderBy(*ranks)
+            return F.last(source, ignorenulls=True).over(
+                frame.rowsBetween(Window.unboundedPreceding, end)
+            )
+
+        if not self.hot:
+            self.df = self.df.select("*", carried(value, [self.key], self.order, end).alias(name))
+            return self
+
         edge = F.max_by if forward else F.min_by
-        rank = F.when(F.col("__value").isNotNull(), F.struct(*self.order))
-        summary = (
-            rows.where(HOT)
+        edges = (
+            self.df.where(HOT)
             .groupBy(self.key, SLICE)
-            .agg(edge("__value", rank).alias("__edge"))
-        )
-        far = (
-            Window.partitionBy(self.key)
-            .orderBy(F.col(SLICE) if forward else F.col(SLICE).desc())
-            .rowsBetween(Window.unboundedPreceding, -1)
+            .agg(edge(value, F.when(value.isNotNull(), F.struct(*self.order))).alias("__edge"))
         )
-        carried = summary.select(
-            self.key, SLICE, F.last("__edge", ignorenulls=True).over(far).alias("__far")
+        far = edges.select(
+            self.key, SLICE, carried("__edge", [self.key], [SLICE], -1).alias("__far")
         )
-        # at most one row per slice of a hot key, see skew.py
+        near = carried(value, [self.key, SLICE], self.order, end)
+        columns = self.df.columns
+        # ``far`` has at most one row per slice of a hot key, see skew.py
         self.df = (
-            rows.withColumn("__near", F.last("__value", ignorenulls=True).over(near))
-            .join(F.broadcast(carried), [self.key, SLICE], "left")
-            .withColumn(name, F.coalesce("__near", "__far"))
-            .drop("__value", "__near", "__far")
+            self.df.select("*", near.alias("__near"))
+            .join(F.broadcast(far), [self.key, SLICE], "left")
+            .select(*columns, F.coalesce("__near", "__far").alias(name))
         )
         return self
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators.carry import Ordered
-from tidemark.operators.skew import hot_keys, replicate_slices, with_slice
+from tidemark.operators.skew import HOT, SLICE, HotKeys, hot_keys, replicate_slices, with_slice
 from tidemark.session import fits_broadcast
 
 # Versions of one member up to which a hash join that tests each of them against
@@ -15,7 +15,9 @@ from tidemark.session import fits_broadcast
 FEW_VERSIONS = 32
 
 
-def lookup_join(facts: DataFrame, members: DataFrame, key: str, along: str) -> DataFrame:
+def lookup_join(
+    facts: DataFrame, members: DataFrame, key: str, along: str, hot: HotKeys | None = None
+) -> DataFrame:
     """Left join to a dimension that has at most one row per ``key``.
 
     A dimension within the broadcast limit is broadcast and the facts are not
@@ -24,10 +26,12 @@ def lookup_join(facts: DataFrame, members: DataFrame, key: str, along: str) -> D
     """
     if fits_broadcast(members):
         return facts.join(F.broadcast(members), key, "left")
-    hot = hot_keys(facts, key, along)
-    sliced = with_slice(facts, hot, key, along)
-    copies = replicate_slices(members, hot, key)
-    return sliced.join(copies, [key, "__slice"], "left").drop("__slice", "__hot")
+    hot = hot_keys(facts, key, along) if hot is None else hot
+    if not hot:
+        return facts.join(members, key, "left")
+    sliced = with_slice(facts, hot, along)
+    copies = replicate_slices(members, hot)
+    return sliced.join(copies, [key, SLICE], "left").drop(SLICE, HOT)
 
 
 def interval_join(

@@ -10,12 +10,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.keys import instant
 from tidemark.operators.carry import Ordered
 from tidemark.operators.dedup import first_per_key
 from tidemark.operators.lookup import lookup_join
+from tidemark.operators.skew import hot_keys
 
 # Fixed values
 FAR_FUTURE = datetime(2099, 12, 31, 23, 59, 59)
@@ -86,7 +87,7 @@ def _changes(batch: DataFrame, by: VersionedBy) -> Ordered:
 def version_history(batch: DataFrame, by: VersionedBy) -> DataFrame:
     """Every version of every member in a log of snapshots."""
     rows = _changes(batch, by).with_next(NEXT, F.col(by.effective))
-    return _chained(rows.rows().drop("prev_attr"), by)
+    return new_versions(rows.rows().drop("prev_attr"), by)
 
 
 def unknown_member(spark: SparkSession, columns: dict[str, Column]) -> DataFrame:
@@ -103,7 +104,8 @@ def compare_with_current(
 ) -> DataFrame:
     """Batch snapshots that open a version, next to the member's current value.
 
-    Adds ``current_attr`` and ``known`` (the member exists). With
+    Adds ``current_attr``, ``known`` (the member exists) and the instant of the
+    member's next change. With
     ``collapse_repeats`` a value counts once per member and batch, so a value
     that returns within the batch opens no second version; without it the
     batch is read as a history.
@@ -116,30 +118,25 @@ def compare_with_current(
         )
         .join(members, by.nk, "left_semi")
     )
-    known = F.coalesce("known", F.lit(False))
+    hot = hot_keys(batch, by.nk, by.order[0])
+    rows = earliest_per_attribute(batch, by) if collapse_repeats else batch
+    compared = lookup_join(rows, current, by.nk, by.order[0], hot).withColumn(
+        "known", F.coalesce("known", F.lit(False))
+    )
+    differs = ~F.col("current_attr").eqNullSafe(F.col(by.attr))
     if collapse_repeats:
-        compared = earliest_per_attribute(batch, by).join(current, by.nk, "left")
-        differs = ~F.col("current_attr").eqNullSafe(F.col(by.attr))
-        return compared.withColumn("known", known).where(~F.col("known") | differs)
-
-    compared = lookup_join(batch, current, by.nk, by.order[0]).withColumn("known", known)
-    rows = Ordered(compared, by.nk, by.order).with_previous("__prev", F.struct(F.col(by.attr)))
-    first = F.col("__prev").isNull()
-    before = F.when(first, F.col("current_attr")).otherwise(F.col("__prev")[by.attr])
-    opens = (first & ~F.col("known")) | ~before.eqNullSafe(F.col(by.attr))
-    return rows.where(opens).with_next(NEXT, F.col(by.effective)).rows().drop("__prev")
-
-
-def new_versions(changes: DataFrame, by: VersionedBy) -> DataFrame:
-    """Chains the changes of a member: each is valid until the next begins."""
-    if NEXT not in changes.columns:
-        # collapsed: one row per attribute value and member
-        chain = Window.partitionBy(by.nk).orderBy(*by.order)
-        changes = changes.withColumn(NEXT, F.lead(by.effective).over(chain))
-    return _chained(changes, by)
-
-
-def _chained(rows: DataFrame, by: VersionedBy) -> DataFrame:
+        chain = Ordered(compared.where(~F.col("known") | differs), by.nk, by.order, hot=hot)
+    else:
+        chain = Ordered(compared, by.nk, by.order, hot=hot)
+        chain.with_previous("__prev", F.struct(F.col(by.attr)))
+        first = F.col("__prev").isNull()
+        repeats = F.col("__prev")[by.attr].eqNullSafe(F.col(by.attr))
+        chain.where(F.when(first, ~F.col("known") | differs).otherwise(~repeats))
+    return chain.with_next(NEXT, F.col(by.effective)).rows().drop("__prev")
+
+
+def new_versions(rows: DataFrame, by: VersionedBy) -> DataFrame:
+    """Versions from changes that know their successor: each is valid until the next begins."""
     kind = rows.schema[by.effective].dataType
     return (
         rows.withColumn("valid_from", F.col(by.effective))

@@ -16,6 +16,7 @@ from tidemark.operators.surrogate import assign_keys
 from tidemark.plans.ledger import JobSpec, Outcome, run_job
 from tidemark.plans.staging import Warehouse
 from tidemark.schemas import CORE
+from tidemark.session import materialise
 
 # Fixed values
 FIRST_DATE, LAST_DATE = date(2020, 1, 1), date(2030, 12, 31)
@@ -177,32 +178,30 @@ def load_subject_versions(
             subset=[by.nk, "timezone", "name"]
         )
         dimension = wh.tables.read("dim_baby")
-        changes = scd2.compare_with_current(
-            batch, dimension, by, "timezone_iana", collapse_repeats
-        ).persist()
-        try:
-            if changes.isEmpty():
-                return Outcome("success", job_id)
-            opened = assign_keys(
-                scd2.new_versions(changes, by),
-                [by.nk, "valid_from", "timezone"],
-                "baby_sk",
-                existing=dimension,
-            )
-            now = instant(wh.run_ts)
-            kept = scd2.expire_current(dimension, scd2.expiry(changes, by), by.nk, now)
-            merged = kept.unionByName(_subject_rows(opened, wh, job_id))
-            is_new = F.col("job_id") == job_id
-            seen = wh.tables.replace(
-                "dim_baby",
-                merged,
-                measures={
-                    "new": F.count_if(is_new),
-                    "closed": F.count_if(~is_new & (F.col("updated_at") == now)),
-                },
-            )
-        finally:
-            changes.unpersist()
+        # Read by three steps below.
+        changes = materialise(
+            scd2.compare_with_current(batch, dimension, by, "timezone_iana", collapse_repeats),
+            "changes",
+        )
+        if changes.isEmpty():
+            return Outcome("success", job_id)
+        opened = assign_keys(
+            scd2.new_versions(changes, by),
+            [by.nk, "valid_from", "timezone"],
+            "baby_sk",
+            existing=dimension,
+        )
+        now = instant(wh.run_ts)
+        kept = scd2.expire_current(dimension, scd2.expiry(changes, by), by.nk, now)
+        is_new = F.col("job_id") == job_id
+        seen = wh.tables.replace(
+            "dim_baby",
+            kept.unionByName(_subject_rows(opened, wh, job_id)),
+            measures={
+                "new": F.count_if(is_new),
+                "closed": F.count_if(~is_new & (F.col("updated_at") == now)),
+            },
+        )
         return Outcome("success", job_id, seen["new"] + seen["closed"], seen["new"])
 
     spec = load_spec("to_core_dim_baby", "staging.stg_baby", "dim_baby", "incremental")

@@ -47,6 +47,16 @@ def workspace(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/tidemark-{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def materialise(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written once to the shared folder, for results that are used several times.
+
+    The files outlive lost executors and give later plans the true size.
+    """
+    path = workspace(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
