@@ -67,22 +67,32 @@ def stage_rows(
     previous_mark: datetime | None = None,
     parent_id: Column | None = None,
 ) -> Outcome:
-    """Types, hashes and writes a batch; bad rows go to quarantine.
+    """Types, hashes and writes a batch in one pass; bad rows go to quarantine.
 
     The batch's mark is its newest event time. An empty batch keeps the
     previous mark, so the next run does not start over.
     """
-    good, bad = split_rows(m.map_rows(source, mapping, parent_id))
-    batch = good.withColumn("loaded_at", instant(wh.run_ts)).withColumn("job_id", F.lit(job_id))
-    measures = {"mark": F.max(F.unix_micros(mark_column))} if mark_column else None
-    write = wh.tables.replace if spec.replaces else wh.tables.append
-    seen = write(spec.table, batch, measures=measures)
-    write_quarantine(
-        quarantine_rows(bad, job_id, mapping.name, wh.run_ts), wh.quarantine, job_id
+    rows = m.map_rows(source, mapping, parent_id).withColumns(
+        {
+            "loaded_at": instant(wh.run_ts),
+            "job_id": F.lit(job_id),
+            "rejected": F.col("error_message").isNotNull(),
+        }
     )
+    good = ~F.col("rejected")
+    measures = {"good": F.count_if(good)}
+    if mark_column:
+        measures["mark"] = F.max(F.when(good, F.unix_micros(mark_column)))
+    write = wh.tables.replace if spec.replaces else wh.tables.append
+    seen = write(spec.table, rows, measures=measures)
+    if seen["rows"] > seen["good"]:
+        bad = wh.tables.rejected(spec.table, job_id)
+        write_quarantine(
+            quarantine_rows(bad, job_id, mapping.name, wh.run_ts), f"{wh.quarantine}/{spec.table}", job_id
+        )
     mark = seen.get("mark")
     return Outcome(
-        "success", job_id, seen["rows"], seen["rows"],
+        "success", job_id, seen["good"], seen["good"],
         previous_mark if mark is None else from_micros(mark),
     )
 

@@ -50,10 +50,14 @@ CORE = {
     "dim_time": _struct(time_sk=_I, full_time=_S, hour=_I, minute=_I),
 }
 
+# What a rejected row holds besides.
+REJECT = _struct(error_message=_S, raw=_S)
+
 # Directory columns, outermost first. A batch owns its partitions, so writing
 # it again after a failure replaces what the failed attempt left.
+# Staging keeps rejected rows apart, so that good and bad rows are written in one pass.
 PARTITIONS = {
-    **{name: ["job_id"] for name in STAGING},
+    **{name: ["job_id", "rejected"] for name in STAGING},
     **{name: ["month_sk", "job_id"] for name in CORE if name.startswith("fact_")},
     "dim_diaper_status": ["job_id"],
 }

@@ -11,9 +11,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from tidemark.schemas import CORE, PARTITIONS, STAGING
+from tidemark.schemas import CORE, PARTITIONS, REJECT, STAGING
 
 READY = "_READY"
+_REJECTED = T.StructField("rejected", T.BooleanType())
 
 
 class Tables:
@@ -71,14 +72,18 @@ class Tables:
         path = self.path(name)
         if path is None:
             return self.spark.createDataFrame([], schema)
+        if name in STAGING:
+            marked = T.StructType([*schema.fields, _REJECTED])
+            return self.spark.read.schema(marked).parquet(path).where("NOT rejected").drop("rejected")
         return self.spark.read.schema(schema).parquet(path)
 
-    # -- writing ------------------------------------------------------------
+    def rejected(self, name: str, job_id: int) -> DataFrame:
+        """Rows of a batch that staging turned away: ``error_message`` and ``raw``."""
+        fields = [*REJECT.fields, T.StructField("job_id", T.IntegerType()), _REJECTED]
+        table = self.spark.read.schema(T.StructType(fields)).parquet(self.path(name))
+        return table.where((F.col("job_id") == job_id) & F.col("rejected")).select(*REJECT.fieldNames())
 
-    def truncate(self, name: str, schema: T.StructType | None = None) -> None:
-        """Publishes an empty version."""
-        schema = schema or STAGING.get(name) or CORE[name]
-        self.replace(name, self.spark.createDataFrame([], schema))
+    # -- writing ------------------------------------------------------------
 
     def replace(
         self,
@@ -137,12 +142,12 @@ def _counted(df: DataFrame, measures: dict[str, Column] | None = None):
 
 
 def _spread(df: DataFrame, parts: Sequence[str]) -> DataFrame:
-    """One group of files per partition directory instead of one per task.
+    """Files per month and not per month and task.
 
-    A rebalance lets AQE split directories that are too big for one task and
-    join small ones.
+    A rebalance lets AQE split months that are too big for one task and join
+    small ones. A batch has one job and needs none.
     """
-    lead = [p for p in parts if p != "job_id"]
+    lead = [p for p in parts if p not in ("job_id", "rejected")]
     return df.hint("rebalance", *lead) if lead else df
 
 

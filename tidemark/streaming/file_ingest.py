@@ -6,13 +6,11 @@ those that came since the last one and then stops.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.keys import instant
-from tidemark.plans.mappings import Mapping, map_rows
-from tidemark.plans.staging import Warehouse, split_rows
-from tidemark.sinks.quarantine import quarantine_rows, write_quarantine
+from tidemark.plans.mappings import Mapping
+from tidemark.plans.staging import Warehouse, extract_spec, stage_rows
 
 
 def landed_files(
@@ -42,13 +40,10 @@ def ingest_available(
     a failure it replaces that partition, so each row is staged once.
     """
 
+    spec = extract_spec(f"stream_{table}", "stream", checkpoint, table, "incremental")
+
     def stage(batch: DataFrame, epoch: int) -> None:
-        good, bad = split_rows(map_rows(batch, mapping))
-        rows = good.withColumn("loaded_at", instant(wh.run_ts)).withColumn("job_id", F.lit(epoch))
-        wh.tables.append(table, rows)
-        write_quarantine(
-            quarantine_rows(bad, epoch, mapping.name, wh.run_ts), f"{wh.quarantine}/{table}", epoch
-        )
+        stage_rows(wh, spec, batch, mapping, epoch)
 
     query = (
         files.writeStream.foreachBatch(stage)
