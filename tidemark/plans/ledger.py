@@ -6,17 +6,19 @@ driver writes at a time, since run ids order the batches.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.functions.keys import instant
+from tidemark.functions.keys import as_utc, instant
 from tidemark.operators.lineage import has_run, last_success, latest_state, succeeded
 from tidemark.schemas import LEDGER, LEDGER_STATUSES
 
 _LOG = T.StructType([*LEDGER.fields, T.StructField("seq", T.LongType())])
+_STAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def _now() -> datetime:
@@ -27,22 +29,34 @@ def from_micros(micros: int) -> datetime:
     return datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=micros)
 
 
-def _literal(value: object) -> Column:
-    return instant(value) if isinstance(value, datetime) else F.lit(value)
+def _plain(value: object) -> object:
+    if isinstance(value, datetime):
+        return as_utc(value).isoformat(timespec="microseconds")
+    return value
 
 
 class Ledger:
+    """A directory with one small JSON file per state, numbered in order.
+
+    A number can be taken once only, so a second writer fails instead of
+    mixing its states with ours.
+    """
+
     def __init__(self, spark: SparkSession, path: str, clock: Callable[[], datetime] = _now):
         self.spark, self.path, self.clock = spark, path.rstrip("/"), clock
         self._used: dict[str, int] = {}
+        self._open: dict[int, dict[str, object]] = {}  # states of the runs in progress here
+
+    def _file(self, name: str = ""):
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+        return target.getFileSystem(conf), target
 
     def log(self) -> DataFrame:
-        jvm = self.spark._jvm
-        target = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = target.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        fs, target = self._file()
         if not fs.exists(target):
             return self.spark.createDataFrame([], _LOG)
-        return self.spark.read.schema(_LOG).parquet(self.path)
+        return self.spark.read.schema(_LOG).option("timestampFormat", _STAMP).json(self.path)
 
     def runs(self) -> DataFrame:
         """One row per run in its latest state."""
@@ -63,35 +77,40 @@ class Ledger:
         self._used[column] += 1
         return self._used[column]
 
-    def _append(self, states: DataFrame) -> int:
-        """Writes new states and returns how many there were."""
-        seen = Observation()
-        numbered = states.withColumn("seq", F.lit(self._next("seq")).cast("long"))
-        (
-            numbered.select(*[F.col(f.name).cast(f.dataType) for f in _LOG.fields])
-            .coalesce(1)
-            .observe(seen, F.count(F.lit(1)).alias("rows"))
-            .write.mode("append")
-            .parquet(self.path)
-        )
-        return seen.get["rows"]
+    def _append(self, state: dict[str, object]) -> None:
+        seq = self._next("seq")
+        text = json.dumps({n: _plain(v) for n, v in state.items()} | {"seq": seq})
+        fs, target = self._file(f"{seq:012d}.json")
+        out = fs.create(target, False)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+        job_id = state["job_id"]
+        if state["status"] == "running":
+            self._open[job_id] = state
+        else:
+            self._open.pop(job_id, None)
 
     def _change(self, job_id: int, **values: object) -> None:
         """A further state of a run, equal to its last but for ``values``."""
-        current = self._runs_where(F.col("job_id") == job_id)
-        if self._append(current.withColumns({n: _literal(v) for n, v in values.items()})) == 0:
-            raise RuntimeError(f"Run {job_id} was never started")
+        state = self._open.get(job_id)
+        if state is None:
+            run = F.to_json(F.struct("*"), {"timestampFormat": _STAMP})
+            row = self._runs_where(F.col("job_id") == job_id).select(run).first()
+            if row is None:
+                raise RuntimeError(f"Run {job_id} was never started")
+            state = json.loads(row[0])
+        self._append(state | values)
 
     def start(self, dag_id: str, task_id: str, logical_date: datetime) -> int:
         job_id = self._next("job_id")
-        first = {
-            "job_id": job_id, "dag_id": dag_id, "task_id": task_id,
-            "logical_date": logical_date, "status": "running",
-        }
-        row = self.spark.range(1).select(
-            *[_literal(first.get(f.name)).cast(f.dataType).alias(f.name) for f in LEDGER.fields]
+        self._append(
+            {
+                "job_id": job_id, "dag_id": dag_id, "task_id": task_id,
+                "logical_date": logical_date, "status": "running",
+            }
         )
-        self._append(row)
         return job_id
 
     def describe(
