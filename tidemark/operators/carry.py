@@ -40,40 +40,46 @@ class Ordered:
         self.df = self.df.where(condition)
         return self
 
-    def with_previous(self, name: str, value: Column, inclusive: bool = False) -> Ordered:
-        """Latest non-NULL ``value`` of the rows before (or up to) each row."""
-        return self._carry(name, value, Window.currentRow if inclusive else -1, forward=True)
+    def with_previous(self, name: str, value: Column) -> Ordered:
+        """``value`` (never NULL) of the row before."""
+        return self._add(name, value, F.lag(value), F.max_by, earlier=True)
 
     def with_next(self, name: str, value: Column) -> Ordered:
-        """First non-NULL ``value`` of the rows after each row."""
-        return self._carry(name, value, -1, forward=False)
+        """``value`` (never NULL) of the row after."""
+        return self._add(name, value, F.lead(value), F.min_by, earlier=False)
 
-    def _carry(self, name: str, value: Column, end: int, forward: bool) -> Ordered:
-        def carried(source: Column | str, by: list[str], order: list[str], end: int) -> Column:
-            ranks = [F.col(c) if forward else F.col(c).desc() for c in order]
-            frame = Window.partitionBy(*by).orderBy(*ranks)
-            return F.last(source, ignorenulls=True).over(
-                frame.rowsBetween(Window.unboundedPreceding, end)
-            )
+    def with_latest(self, name: str, value: Column) -> Ordered:
+        """Latest ``value`` that is not NULL, up to and including each row."""
+        return self._add(name, value, F.last(value, ignorenulls=True), F.max_by, earlier=True)
 
+    def _add(self, name: str, value: Column, nearby: Column, edge, earlier: bool) -> Ordered:
+        """``nearby`` within a slice, else the nearest value of the other slices.
+
+        All windows of the same rows sort in the same direction, so they share
+        one shuffle and one sort.
+        """
         if not self.hot:
-            self.df = self.df.select("*", carried(value, [self.key], self.order, end).alias(name))
+            window = Window.partitionBy(self.key).orderBy(*self.order)
+            self.df = self.df.select("*", nearby.over(window).alias(name))
             return self
 
-        edge = F.max_by if forward else F.min_by
         edges = (
             self.df.where(HOT)
             .groupBy(self.key, SLICE)
             .agg(edge(value, F.when(value.isNotNull(), F.struct(*self.order))).alias("__edge"))
         )
+        slices = Window.partitionBy(self.key).orderBy(
+            F.col(SLICE).asc() if earlier else F.col(SLICE).desc()
+        )
+        passed = slices.rowsBetween(Window.unboundedPreceding, -1)
         far = edges.select(
-            self.key, SLICE, carried("__edge", [self.key], [SLICE], -1).alias("__far")
+            self.key, SLICE, F.last("__edge", ignorenulls=True).over(passed).alias("__far")
         )
-        near = carried(value, [self.key, SLICE], self.order, end)
+        window = Window.partitionBy(self.key, SLICE).orderBy(*self.order)
         columns = self.df.columns
         # ``far`` has at most one row per slice of a hot key, see skew.py
         self.df = (
-            self.df.select("*", near.alias("__near"))
+            self.df.select("*", nearby.over(window).alias("__near"))
             .join(F.broadcast(far), [self.key, SLICE], "left")
             .select(*columns, F.coalesce("__near", "__far").alias(name))
         )

@@ -109,7 +109,7 @@ def asof_join(
     merged = events.unionByName(starts, allowMissingColumns=True)
     carried = (
         Ordered(merged, "__key", ["__at", "__side"])
-        .with_previous("__found", F.col("__version"), inclusive=True)
+        .with_latest("__found", F.col("__version"))
         .where("__side = 1")
         .rows()
     )

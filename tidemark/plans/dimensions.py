@@ -174,8 +174,8 @@ def load_subject_versions(
     def work(job_id: int) -> Outcome:
         batches = new_batches(wh.ledger.runs(), "stg_baby", "dim_baby")
         staged = only_batches(wh.tables.read("stg_baby"), batches)
-        batch = staged.withColumnRenamed("source_id", by.nk).dropna(
-            subset=[by.nk, "timezone", "name"]
+        batch = staged.withColumnRenamed("source_id", by.nk).where(
+            F.col(by.nk).isNotNull() & F.col("timezone").isNotNull() & F.col("name").isNotNull()
         )
         dimension = wh.tables.read("dim_baby")
         # Read by three steps below.
