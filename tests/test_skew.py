@@ -85,15 +85,18 @@ def test_asof_join_equals_the_range_join(spark, events):
 
 def test_lookup_join_beyond_the_broadcast_limit(spark, events):
     members = spark.range(6, 130).select(F.col("id").alias("k"), (F.col("id") * 10).alias("sk"))
+    events = events.unionByName(spark.createDataFrame([(None, START, -1, "a")], events.schema)).persist()
     plain = events.join(members, "k", "left")
     same(lookup_join(events, members, "k", "ts"), plain)
+    same(lookup_join(events.where("k > 10 OR k IS NULL"), members, "k", "ts"), plain.where("k > 10 OR k IS NULL"))
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         same(lookup_join(events, members, "k", "ts"), plain)
+        same(lookup_join(events.where("k > 10 OR k IS NULL"), members, "k", "ts"), plain.where("k > 10 OR k IS NULL"))
         versions = versions_of(events).withColumn("sk", F.xxhash64("k", "valid_from"))
         found = resolve_member(events.select("id", "k", "ts"), versions, "k", "ts", "sk", -1)
-        assert found.count() == events.count() and found.where("sk = -1").count() == 0
+        assert found.count() == events.count() and found.where("sk = -1").count() == 1
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 

@@ -27,11 +27,20 @@ def lookup_join(
     if fits_broadcast(members):
         return facts.join(F.broadcast(members), key, "left")
     hot = hot_keys(facts, key, along) if hot is None else hot
-    if not hot:
-        return facts.join(members, key, "left")
-    sliced = with_slice(facts, hot, along)
-    copies = replicate_slices(members, hot)
-    return sliced.join(copies, [key, SLICE], "left").drop(SLICE, HOT)
+    keyed = facts.where(F.col(key).isNotNull())
+    if hot:
+        sliced, copies = with_slice(keyed, hot, along), replicate_slices(members, hot)
+        joined = sliced.join(copies, [key, SLICE], "left").drop(SLICE, HOT)
+    else:
+        joined = keyed.join(members, key, "left")
+    return joined.unionByName(_keyless(facts, key, members, [c for c in members.columns if c != key]))
+
+
+def _keyless(facts: DataFrame, key: str, members: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows without a key, which match nothing. They stay out of the shuffle,
+    where all of them would meet in one task."""
+    nothing = [F.lit(None).cast(members.schema[c].dataType).alias(c) for c in columns]
+    return facts.where(F.col(key).isNull()).select("*", *nothing)
 
 
 def interval_join(
@@ -117,12 +126,7 @@ def asof_join(
     matched = carried.select(
         "__row.*", *[F.when(inside, F.col("__found")[c]).alias(c) for c in columns]
     )
-    # Events without a key match nothing; they bypass the sort.
-    types = {f.name: f.dataType for f in versions.schema}
-    keyless = facts.where(F.col(key).isNull()).select(
-        "*", *[F.lit(None).cast(types[c]).alias(c) for c in columns]
-    )
-    return matched.unionByName(keyless)
+    return matched.unionByName(_keyless(facts, key, versions, columns))
 
 
 def resolve_member(
