@@ -167,7 +167,7 @@ def schedule_instants(spark: SparkSession, path: str) -> DataFrame:
 # -- mappings -------------------------------------------------------------------
 
 # A hand-kept amounts file with one row per event.
-_AMOUNT_COLUMNS = {
+AMOUNT_COLUMNS = {
     "ID": RAW_NUMBER,
     "Baby ID": "CASE WHEN event_id % 7 = 0 THEN '' ELSE CAST(user_id AS STRING) END",
     "Time": "CASE WHEN event_id % 29 = 0 THEN '31.02.2024, 08:00' WHEN event_id % 31 = 0 THEN NULL "
@@ -177,7 +177,7 @@ _AMOUNT_COLUMNS = {
     "Note": "event_type",
 }
 
-_AMOUNT_CTE = f"""
+AMOUNT_CTE = f"""
 WITH a AS (
   SELECT event_id, ts, user_id, event_type,
          {RAW_NUMBER.replace('STRING', 'VARCHAR')} AS id_text,
@@ -206,10 +206,10 @@ named AS (
 
 
 def amount_lines(events: DataFrame) -> DataFrame:
-    return events.select(*[F.expr(sql).alias(name) for name, sql in _AMOUNT_COLUMNS.items()])
+    return events.select(*[F.expr(sql).alias(name) for name, sql in AMOUNT_COLUMNS.items()])
 
 
-@query(_AMOUNT_CTE + """
+@query(AMOUNT_CTE + """
 SELECT source_id, feed_time, amount_ml, baby_id,
        sha256(concat_ws('|', source_id, coalesce(strftime(feed_time, '%Y-%m-%d %H:%M:%S'), 'None'),
               coalesce(CAST(amount_ml AS VARCHAR), 'None'), CAST(baby_id AS VARCHAR))) AS row_hash
@@ -221,7 +221,7 @@ def staged_amounts(spark: SparkSession, path: str) -> DataFrame:
     return good.withColumn("feed_time", F.col("feed_time").cast("timestamp_ntz"))
 
 
-@query(_AMOUNT_CTE + """
+@query(AMOUNT_CTE + """
 SELECT 'amount_file' AS rule, error_message,
        '{"ID":"' || id_text || '","Baby ID":"' || parent_text || '","Time":' ||
        coalesce('"' || time_text || '"', 'null') || ',"Amount (ml)":"' || amount_text ||
@@ -234,7 +234,7 @@ def quarantine_split(spark: SparkSession, path: str) -> DataFrame:
     return bad.select(F.lit(m.AMOUNT_FILE.name).alias("rule"), "error_message", "raw")
 
 
-@query(_AMOUNT_CTE + """
+@query(AMOUNT_CTE + """
 SELECT CAST(day(ts) AS INTEGER) AS job_id, count(*) AS n_rows,
        count(*) FILTER (error_message IS NULL) AS n_good,
        count(*) FILTER (error_message IS NOT NULL) AS n_bad
@@ -242,7 +242,7 @@ FROM named GROUP BY 1""")
 def ingest_counts(spark: SparkSession, path: str) -> DataFrame:
     """Good and bad rows of every batch in one pass."""
     batches = table(spark, path, "events").select(
-        *[F.expr(sql).alias(name) for name, sql in _AMOUNT_COLUMNS.items()],
+        *[F.expr(sql).alias(name) for name, sql in AMOUNT_COLUMNS.items()],
         F.dayofmonth("ts").alias("batch"),
     )
     counted = m.Mapping(

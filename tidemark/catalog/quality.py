@@ -97,5 +97,5 @@ def ownership_check(spark: SparkSession, path: str) -> DataFrame:
     true_ones = orders.select(
         (F.col("o_orderkey") + 1_000_000_000).alias("request_id"), "o_orderkey", "o_custkey"
     )
-    judged = r.ownership(guesses.unionByName(true_ones), orders, "o_orderkey", "o_custkey")
+    judged = r.ownership(guesses.unionByName(true_ones), orders, "o_orderkey", "o_custkey", "request_id")
     return judged.select("request_id", "ownership")

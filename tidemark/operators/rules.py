@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.coerce import clean_status, clean_text
+from tidemark.operators.lookup import lookup_join
 
 # Fixed values
 STATUSES = ("wet", "dirty", "mixed")
@@ -73,11 +74,14 @@ def with_parents(
     return children.join(keys, child_key, "left_semi")
 
 
-def ownership(requests: DataFrame, children: DataFrame, id_col: str, parent_col: str) -> DataFrame:
+def ownership(
+    requests: DataFrame, children: DataFrame, id_col: str, parent_col: str, along: str
+) -> DataFrame:
     """Classifies (child id, claimed parent) requests.
 
     ``ok``: the child belongs to the parent; ``foreign_parent``: it belongs to
-    another; ``not_found``: there is no such child.
+    another; ``not_found``: there is no such child. ``along`` is a number or
+    time of a request that tells many requests for one child apart.
     """
     owners = children.select(F.col(id_col), F.col(parent_col).alias("__owner"), F.lit(1).alias("__hit"))
     verdict = (
@@ -86,7 +90,7 @@ def ownership(requests: DataFrame, children: DataFrame, id_col: str, parent_col:
         .otherwise("foreign_parent")
     )
     return (
-        requests.join(owners, id_col, "left")
+        lookup_join(requests, owners, id_col, along)
         .withColumn("ownership", verdict)
         .drop("__owner", "__hit")
     )

@@ -16,6 +16,7 @@ from tidemark.functions.coerce import clean_status, clean_text, strict_wall_cloc
 from tidemark.functions.keys import instant
 from tidemark.operators import rules as r
 from tidemark.operators.changes import apply_changes
+from tidemark.operators.lookup import lookup_join
 from tidemark.operators.surrogate import assign_keys
 from tidemark.sinks.quarantine import raw_json
 
@@ -148,9 +149,9 @@ def feed_events(
         .groupBy("id")
         .agg(F.min_by("baby_id", F.struct("__new", "baby_id")).alias("baby_id"))
     )
-    owned = r.ownership(clean, owners, "id", "baby_id")
+    owned = r.ownership(clean, owners, "id", "baby_id", "seq")
     parents = subjects.select(F.col("id").alias("baby_id"), F.lit(True).alias("__parent"))
-    checked = owned.join(parents, "baby_id", "left")
+    checked = lookup_join(owned, parents, "baby_id", "seq")
 
     change = F.col("op") != "D"
     rules = [
