@@ -1,6 +1,6 @@
 """Hot keys: the sliced forms give the same rows as the plain ones."""
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
 import pytest
 from pyspark.sql import Window, functions as F
@@ -55,7 +55,7 @@ def test_previous_and_next_equal_lag_and_lead(events):
     same(got, plain)
 
 
-def test_history_equals_plain_windows(events, monkeypatch):
+def test_history_equals_plain_windows(events):
     w = Window.partitionBy("k").orderBy("ts", "id")
     changed = events.withColumn("p", F.lag("attr").over(w)).where("p IS NULL OR p <> attr")
     plain = changed.select(

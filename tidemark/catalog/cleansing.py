@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.catalog import query, table
@@ -312,10 +314,9 @@ def staged_durations(spark: SparkSession, path: str) -> DataFrame:
     return good.withColumn("sleep_start", F.col("sleep_start").cast("timestamp_ntz"))
 
 
-_SEED_TIME = {
-    "spark": "CASE event_id % 10 WHEN 0 THEN NULL WHEN 1 THEN date_format(ts, 'yyyy-MM-dd HH:mm') "
-    "WHEN 2 THEN '31.03.2099, 10:00' ELSE date_format(ts, 'dd.MM.yyyy, HH:mm') END",
-}
+_SEED_TIME = """
+CASE event_id % 10 WHEN 0 THEN NULL WHEN 1 THEN date_format(ts, 'yyyy-MM-dd HH:mm')
+     WHEN 2 THEN '31.03.2099, 10:00' ELSE date_format(ts, 'dd.MM.yyyy, HH:mm') END"""
 
 
 @query("""
@@ -330,10 +331,8 @@ SELECT 'status', count(*) FILTER (k > 2 AND event_type IN ('click', 'view')),
        max(CASE WHEN k > 2 AND event_type IN ('click', 'view') THEN utc END) FROM s""")
 def seed_import(spark: SparkSession, path: str) -> DataFrame:
     """Historical import of two files: strict format, local zone, rules, counts."""
-    from datetime import datetime
-
     lines = table(spark, path, "events").select(
-        F.expr(_SEED_TIME["spark"]).alias("Time"),
+        F.expr(_SEED_TIME).alias("Time"),
         F.floor("value").cast("string").alias("Duration(minutes)"),
         F.expr("CASE event_type WHEN 'click' THEN ' Wet' WHEN 'view' THEN 'DIRTY' ELSE event_type END").alias(
             "Status"

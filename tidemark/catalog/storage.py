@@ -11,7 +11,7 @@ from tidemark.functions.coerce import add_typed, instant_steps, iso_seconds, typ
 from tidemark.functions.keys import date_key, month_key
 from tidemark.operators.lineage import only_batches
 from tidemark.sinks.tables import Tables, read_fact
-from tidemark.sources import after_mark, fan_out, listing, lookup, read_csv, read_json, read_source
+from tidemark.sources import after_mark, fan_out, listing, lookup, read_csv, read_source
 from tidemark.session import workspace
 
 # Fixed stand-in for the instant up to which events were loaded before.
