@@ -30,8 +30,8 @@ REGION = 4096
 """Classes that share a prefix before a longer one is taken."""
 BLOCK = 512
 """Classes of a block; a task holds two blocks of a region at a time."""
-SLACK = 0.17
-"""How far below the limit an estimate may lie: nearly five deviations of 128 minima at 0.8."""
+SLACK = 0.14
+"""How far below the limit an estimate may lie: four deviations of 128 minima at 0.8."""
 LAZY = 3
 """Rounds after the first; the last takes every candidate across components."""
 
@@ -99,7 +99,7 @@ def _sets(docs: DataFrame, width: int, kind: str) -> DataFrame:
 
 
 def _regions(classes: DataFrame) -> DataFrame:
-    """``g, tree, set_key`` of each class in each tree whose region holds others; ``blocks`` of large regions."""
+    """``g, set_key, tree, level, blocks`` of each class in each tree where it shares a region with others."""
     rows = classes.select("set_key", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "sig")
     rows = rows.select("set_key", "tree", F.expr(f"substring(sig, 1 + tree * {2 * DEPTH}, {2 * DEPTH})").alias("path"))
     done = None
@@ -108,7 +108,8 @@ def _regions(classes: DataFrame) -> DataFrame:
         sizes = keyed.groupBy("g").agg(F.count("*").alias("members")).where("members > 1")
         keyed = materialise(keyed.join(sizes, "g"), f"level{level}")
         final = keyed if level == LEVELS[-1] else keyed.where(F.col("members") <= REGION)
-        final = final.select("g", "set_key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+        blocks = F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")
+        final = final.select("g", "set_key", "tree", F.lit(level).alias("level"), blocks)
         done = final if done is None else done.union(final)
         rows = keyed.where(F.col("members") > REGION).select("set_key", "tree", "path")
         if level == LEVELS[-1] or rows.isEmpty():
@@ -123,7 +124,7 @@ def _tiles(rows: DataFrame) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     tiled = rows.where("blocks > 1").withColumn("other", other)
     tiled = tiled.withColumn("g", F.xxhash64("g", F.least("own", "other"), F.greatest("own", "other")))
-    return rows.where("blocks = 1").drop("own", "blocks").unionByName(tiled.drop("own", "other", "blocks"))
+    return rows.where("blocks = 1").drop("blocks").unionByName(tiled.drop("other", "blocks"))
 
 
 def _candidates(members: DataFrame, least: float, ratio: float, whole: bool = False) -> DataFrame:
@@ -131,11 +132,23 @@ def _candidates(members: DataFrame, least: float, ratio: float, whole: bool = Fa
 
     From each member ``a`` to its most similar partner, and (``hub``) to the
     member that is most similar to all others; with ``whole`` every candidate
-    once. Candidates have an estimate of at least ``least`` and set sizes
-    within ``ratio``. Ties go to the member that comes first.
+    once, in the first tree where the two meet for certain. Candidates have an
+    estimate of at least ``least`` and set sizes within ``ratio``. In a tile
+    of two blocks only members of different blocks are compared. Ties go to
+    the member that comes first.
     """
 
-    def of_group(sig: np.ndarray, size: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, ...]:
+    def met_before(i: np.ndarray, j: np.ndarray, sig: np.ndarray, tree: np.ndarray, shallow: np.ndarray) -> np.ndarray:
+        """Whether an earlier tree has the two in one region of the first level."""
+        heads = sig.reshape(len(sig), TREES, DEPTH)[:, :, : LEVELS[0]]
+        open_to = (shallow[:, None] >> np.arange(TREES) & 1).astype(bool) & (np.arange(TREES) < tree[:, None])
+        out = np.zeros(len(i), bool)
+        for at in range(0, len(i), 50_000):
+            a, b = i[at : at + 50_000], j[at : at + 50_000]
+            out[at : at + 50_000] = ((heads[a] == heads[b]).all(axis=2) & open_to[a]).any(axis=1)
+        return out
+
+    def of_group(sig: np.ndarray, size: np.ndarray, root: np.ndarray, own: np.ndarray, *rest) -> tuple[np.ndarray, ...]:
         n = len(sig)
         est = np.zeros((n, n), np.float32)
         for i in range(n):
@@ -143,8 +156,12 @@ def _candidates(members: DataFrame, least: float, ratio: float, whole: bool = Fa
         ok = (est >= least) & (root[:, None] != root[None, :])
         ok &= np.minimum.outer(size, size) >= ratio * np.maximum.outer(size, size)
         np.fill_diagonal(ok, False)
+        if (own != own[0]).any():
+            ok &= own[:, None] != own[None, :]
         if whole:
             i, j = np.nonzero(np.triu(ok))
+            fresh = ~met_before(i, j, sig, *rest)
+            i, j = i[fresh], j[fresh]
             return i, j, est[i, j], np.zeros(len(i), bool)
         est[~ok] = 0
         best = est.argmax(axis=1)
@@ -165,11 +182,11 @@ def _candidates(members: DataFrame, least: float, ratio: float, whole: bool = Fa
 
     def work(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u2").reshape(table.num_rows, -1)
-        size, root = table.column("n").to_numpy(), table.column("root").to_numpy()
+        size, root, own, tree, shallow = (table.column(x).to_numpy() for x in ("n", "root", "own", "tree", "shallow"))
         counts = np.diff(starts)
         found = [of_twos(starts[:-1][counts == 2], sig, size, root)]
         for lo, hi in zip(starts[:-1][counts > 2], starts[1:][counts > 2], strict=True):
-            i, j, *rest = of_group(sig[lo:hi], size[lo:hi], root[lo:hi])
+            i, j, *rest = of_group(*(x[lo:hi] for x in (sig, size, root, own, tree, shallow)))
             found.append((i + lo, j + lo, *rest))
         i, j, est, hub = (np.concatenate(x) for x in zip(*found, strict=True))
         a, b = (table.column("set_key").take(pa.array(x)).combine_chunks() for x in (i, j))
@@ -236,8 +253,11 @@ def near_duplicates(
     )
     reps = materialise(reps, "classes")
     low, ratio = percent / 100 - SLACK, percent / 100
-    members = _tiles(_regions(reps)).join(reps.select("set_key", "n", "sig"), "set_key")
-    members = materialise(members.withColumn("root", F.xxhash64("set_key")), "members")
+    regions = _regions(reps)
+    bit = F.when(F.col("level") == LEVELS[0], F.expr("shiftleft(1L, tree)")).otherwise(0)
+    facts = regions.groupBy("set_key").agg(F.sum(bit).alias("shallow"))
+    facts = facts.join(reps.select("set_key", "n", "sig", F.xxhash64("set_key").alias("root")), "set_key")
+    members = materialise(_tiles(regions).drop("level").join(facts, "set_key"), "members")
     proposed = materialise(_strongest(_candidates(members, low, ratio)), "proposed")
     nodes = materialise(proposed.select(F.explode(F.array("a", "b")).alias("set_key")).distinct(), "nodes")
     members = materialise(members.join(nodes, "set_key", "left_semi"), "members")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, minhash, packing, sharding
+from tidemark.llm import bpe, extraction, licenses, minhash, packing, pii, quality, sharding, topk, vectors
 from tidemark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,25 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query()
+def op1_license_scan(spark: SparkSession, path: str) -> DataFrame:
+    found = licenses.scan(read(spark, path, "documents"))
+    return found.select(
+        "doc_id", F.size("licenses").cast("long").alias("n_licenses"), F.array_join("licenses", ",").alias("licenses"),
+        F.coalesce(F.array_max("containment"), F.lit(0.0)).alias("containment"),
+    )
+
+
+@query()
+def op2_histogram_top_k(spark: SparkSession, path: str) -> DataFrame:
+    return topk.exact_top_k(read(spark, path, "embeddings"), "id % 100 = 0", k=10, scale=1024)
+
+
+@query()
+def op3_pivot_permutation(spark: SparkSession, path: str) -> DataFrame:
+    return vectors.near_vectors(read(spark, path, "embeddings"), least=0.95)
+
+
 @query()
 def op4_byte_bpe(spark: SparkSession, path: str) -> DataFrame:
     docs = read(spark, path, "documents")
@@ -43,6 +62,32 @@ def op5_minhash_forest(spark: SparkSession, path: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, path, "documents"), width=4, percent=80)
 
 
+@query()
+def op6_importance_resampling(spark: SparkSession, path: str) -> DataFrame:
+    return quality.resample(read(spark, path, "documents"), read(spark, path, "labels"))
+
+
+@query()
+def op7_host_suffix_array(spark: SparkSession, path: str) -> DataFrame:
+    text = extraction.main_text(read(spark, path, "pages"))
+    return text.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query()
+def op8_skip_chain_crf(spark: SparkSession, path: str) -> DataFrame:
+    found = pii.find(read(spark, path, "documents"))
+
+    def joined(column: str) -> F.Column:
+        parts = F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+        return F.array_join(parts, ",")
+
+    def count(kind: str) -> F.Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == F.lit(kind))).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 @query()
 def op9_cutting_stock(spark: SparkSession, path: str) -> DataFrame:
     return packing.pack(
