@@ -5,8 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import minhash, packing
-from tidemark.llm.common import materialise, prepare
+from tidemark.llm import minhash, packing, pii, quality
+from tidemark.llm.common import materialise, prepare, read
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the documents that importance resampling draws; the labels lie beside the documents."""
+    return quality.select(docs, read(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,6 +21,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return docs.join(found.distinct(), "doc_id", "left_semi")
 
 
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data masked."""
+    prepare(spark)
+    return pii.redact(docs)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 1024 tokens."""
     prepare(spark)
@@ -25,7 +36,9 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
-STAGES = [("near duplicates", near_duplicates), ("packing", packed)]
+STAGES = [
+    ("quality", good_quality), ("near duplicates", near_duplicates), ("personal data", without_personal_data), ("packing", packed),
+]
 
 ORACLE_SQL = None
 
