@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, texts
+from tidemark.llm.common import materialise
+from tidemark.llm.minhash import _mix
 
 WORD_BUCKETS, SHAPE_BUCKETS = 1 << 13, 1 << 12
 BUCKETS = WORD_BUCKETS + SHAPE_BUCKETS
@@ -26,31 +25,79 @@ PRIOR = 8
 ACCEPT = 0.9995
 """Share of good labelled documents, set aside for this, that the acceptance level lets through."""
 
-_EDGE = re.compile(r"^([^\w]*)(.*?)([^\w]*)$", re.S)
+_CHUNK = 1 << 20
+"""Bytes of text that are taken apart at once."""
+_BASE = 0x9E3779B97F4A7C15
+_BACK = pow(_BASE, -1, 1 << 64)
 
 
-@lru_cache(maxsize=200_000)
-def _word(word: str) -> tuple[int, str]:
-    """Bucket of a word and its shape: marks around it, digits, case, length."""
-    head, core, tail = _EDGE.match(word).groups()
-    kind = "9" if any(c.isdigit() for c in core) else "A" if core[:1].isupper() else "a" if core else "."
-    inner = "m" if any(not c.isalnum() for c in core) else ""
-    shape = f"{head[:3]}{kind}{inner}{min(len(core), 24) // 6}{tail[:3]}"
-    return xxhash.xxh32_intdigest(core.lower().encode()) % WORD_BUCKETS, shape
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By byte: whether it is white space, what it adds to the hash of a word, and its class in a shape."""
+    byte = np.arange(256)
+    space = (byte == 32) | ((byte >= 9) & (byte <= 13))
+    upper, digit = (byte >= 65) & (byte <= 90), (byte >= 48) & (byte <= 57)
+    letter = upper | ((byte >= 97) & (byte <= 122)) | (byte >= 128)
+    value = np.where(letter | digit, np.where(upper, byte + 32, byte), 0).astype(np.uint64)
+    kind = np.where(upper, 1, np.where(letter, 2, np.where(digit, 3, byte + 8)))
+    kind[[ord(c) for c in ".,;:!?"]] = 4
+    return space, value, kind.astype(np.uint64)
 
 
-@lru_cache(maxsize=200_000)
-def _shape_pair(one: str, two: str, same: bool) -> int:
-    return WORD_BUCKETS + xxhash.xxh32_intdigest(f"{one}\x00{two}\x00{same}".encode()) % SHAPE_BUCKETS
+_SPACE, _VALUE, _KIND = _tables()
 
 
-def features(text: str) -> np.ndarray:
-    """Buckets of the n-grams of a whole text: each word, and each pair of neighbours' shapes and whether they repeat."""
-    words = text.split()
-    known = list(map(_word, words))
-    shapes = [s for _, s in known]
-    pairs = [_shape_pair(shapes[i], shapes[i + 1], words[i] == words[i + 1]) for i in range(len(words) - 1)]
-    return np.array([w for w, _ in known] + pairs, np.int32)
+@lru_cache(maxsize=4)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64."""
+    made = []
+    for base in (_BASE, _BACK):
+        steps = np.full(n, base, np.uint64)
+        steps[0] = 1
+        made.append(np.multiply.accumulate(steps))
+    return made[0], made[1]
+
+
+def _grams(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Document and bucket of each n-gram of the texts between the bounds of ``data``.
+
+    Words are runs without white space. Each gives the hash of its letters and
+    digits in lower case; each pair of neighbours a hash of both shapes (first
+    and last two bytes by class, length) and whether the words are the same.
+    """
+    solid = ~_SPACE[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[bounds] = True
+    starts = np.flatnonzero(solid & (edge[:-1] | np.r_[True, ~solid[:-1]]))
+    ends = np.flatnonzero(solid & (edge[1:] | np.r_[~solid[1:], True])) + 1
+    if not len(starts):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    power, inverse = _powers(1 << int(len(data)).bit_length())
+    run = np.r_[np.uint64(0), np.cumsum(_VALUE[data] * power[: len(data)], dtype=np.uint64)]
+    word = _mix((run[ends] - run[starts]) * inverse[starts])
+    size = np.minimum(ends - starts, 24).astype(np.uint64) // np.uint64(6)
+    kinds = _KIND[data]
+    shape = ((kinds[starts] * np.uint64(512) + kinds[ends - 1]) * np.uint64(512) + kinds[np.maximum(ends - 2, starts)]) * np.uint64(8) + size
+    doc = np.searchsorted(bounds, starts, "right") - 1
+    pair = np.flatnonzero(doc[1:] == doc[:-1])
+    same = (word[pair] == word[pair + 1]).astype(np.uint64)
+    pairs = _mix(_mix(shape[pair]) + shape[pair + 1] * np.uint64(2) + same)
+    buckets = np.r_[word % np.uint64(WORD_BUCKETS), np.uint64(WORD_BUCKETS) + pairs % np.uint64(SHAPE_BUCKETS)]
+    return np.r_[doc, doc[pair]], buckets.astype(np.int64)
+
+
+def grams(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row and bucket of every n-gram of a column of whole texts, in pieces of about ``_CHUNK`` bytes."""
+    raw = [(x or "").encode() for x in column.to_pylist()]
+    at = 0
+    while at < len(raw):
+        stop, size = at, 0
+        while stop < len(raw) and (stop == at or size + len(raw[stop]) <= _CHUNK):
+            size += len(raw[stop])
+            stop += 1
+        bounds = np.cumsum([0, *map(len, raw[at:stop])])
+        doc, bucket = _grams(np.frombuffer(b"".join(raw[at:stop]), np.uint8), bounds)
+        yield doc + at, bucket
+        at = stop
 
 
 @dataclass(frozen=True)
@@ -60,12 +107,13 @@ class Model:
     ratio: np.ndarray
     accept: float
 
-    def log_weight(self, text: str) -> float:
-        """Log importance weight, scaled; minus infinity for a text without words."""
-        found = features(text)
-        if not len(found):
-            return float("-inf")
-        return SHARP * float(self.ratio[found].sum()) / (len(found) + PRIOR)
+    def log_weights(self, column: pa.Array) -> np.ndarray:
+        """Scaled log importance weights; minus infinity for texts without words."""
+        total, n = np.zeros(len(column)), np.zeros(len(column))
+        for row, bucket in grams(column):
+            total += np.bincount(row, self.ratio[bucket], len(column))
+            n += np.bincount(row, minlength=len(column))
+        return np.where(n > 0, SHARP * total / (n + PRIOR), -np.inf)
 
 
 def _label_sample(labels: DataFrame, id_col: str, label_col: str) -> list:
@@ -88,17 +136,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = _label_sample(labels, id_col, label_col)
     train = frozenset(r["id"] for i, r in enumerate(sample) if i % 3 and r["good"] == 1)
     aside = {r["id"]: int(r["good"]) for i, r in enumerate(sample) if not i % 3}
-    shared = spark.sparkContext.broadcast((train, frozenset(aside)))
+    shared = spark.sparkContext.broadcast(train)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        train, _ = shared.value
+        train = shared.value
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True):
-                counts = np.bincount(features(text), minlength=BUCKETS)
-                raw += counts
-                if key in train:
-                    target += counts
+            good = np.array([key in train for key in batch.column(0).to_pylist()], bool)
+            for row, bucket in grams(batch.column(1)):
+                raw += np.bincount(bucket, minlength=BUCKETS)
+                target += np.bincount(bucket[good[row]], minlength=BUCKETS)
         at = np.flatnonzero(raw)
         made = [pa.array(at.astype(np.int32)), pa.array(raw[at]), pa.array(target[at])]
         yield pa.RecordBatch.from_arrays(made, ["bucket", "raw", "target"])
@@ -143,7 +190,7 @@ def _scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            weights = pa.array([model.log_weight(t) for t in texts(batch.column(at))], pa.float64())
+            weights = pa.array(model.log_weights(batch.column(at)), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, weights], [*batch.schema.names, "log_weight"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "log_weight")
