@@ -1,8 +1,8 @@
 """Near-duplicate documents: MinHash signatures in an LSH forest, confirmed on full shingle sets.
 
 A document is the set of its word shingles. Documents with equal sets are one
-class from the start. A class has a signature of ``TREES * DEPTH`` minima; a
-tree orders the classes by its ``DEPTH`` minima, and classes with a long common
+class from the start. A class has a signature of ``TREES * DEPTH`` minima and
+``EXTRA`` more; a tree orders the classes by its ``DEPTH`` minima, and classes with a long common
 prefix are candidates. How long is settled by region: prefixes of ``LEVELS[0]``
 minima that more than ``REGION`` classes share are told apart by longer ones.
 Two sets of similarity 0.8 share three minima in one of 16 trees but for a
@@ -25,23 +25,25 @@ from tidemark.llm.common import by_group, materialise
 from tidemark.llm.components import components
 
 TREES, DEPTH = 16, 8
+EXTRA = 128
+"""Minima beyond those of the trees; all together estimate the similarity of candidates."""
 LEVELS = (3, 5, 8)
 REGION = 4096
 """Classes that share a prefix before a longer one is taken."""
 BLOCK = 512
 """Classes of a block; a task holds two blocks of a region at a time."""
-SLACK = 0.14
-"""How far below the limit an estimate may lie: four deviations of 128 minima at 0.8."""
-LAZY = 3
-"""Rounds after the first; the last takes every candidate across components."""
+SLACK = 0.1
+"""How far below the limit an estimate may lie: four deviations of 256 minima at 0.8."""
+NEXT = 16
+"""Partners that a member outside the main component of its group proposes in the second round."""
 
 _MASK = (1 << 64) - 1
 
 
 def _constants() -> tuple[np.ndarray, np.ndarray]:
     draw = np.random.Generator(np.random.PCG64(20240229))
-    a = draw.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    return a, draw.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64)
+    a = draw.integers(0, 1 << 63, TREES * DEPTH + EXTRA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return a, draw.integers(0, 1 << 63, TREES * DEPTH + EXTRA, dtype=np.uint64)
 
 
 _A, _B = _constants()
@@ -127,12 +129,14 @@ def _tiles(rows: DataFrame) -> DataFrame:
     return rows.where("blocks = 1").drop("blocks").unionByName(tiled.drop("other", "blocks"))
 
 
-def _candidates(members: DataFrame, least: float, ratio: float, whole: bool = False) -> DataFrame:
+def _candidates(members: DataFrame, least: float, ratio: float, turn: int) -> DataFrame:
     """Candidate links ``a, b, est, hub`` within each group ``g``; members of one ``root`` are no candidates.
 
-    From each member ``a`` to its most similar partner, and (``hub``) to the
-    member that is most similar to all others; with ``whole`` every candidate
-    once, in the first tree where the two meet for certain. Candidates have an
+    At first from each member ``a`` to its most similar partner, and (``hub``)
+    to the member that is most similar to all others. In the second turn from
+    members outside the group's most frequent root to their ``NEXT`` most
+    similar partners. In the third every candidate once, in the first tree
+    where the two meet for certain. Candidates have an
     estimate of at least ``least`` and set sizes within ``ratio``. In a tile
     of two blocks only members of different blocks are compared. Ties go to
     the member that comes first.
@@ -140,7 +144,7 @@ def _candidates(members: DataFrame, least: float, ratio: float, whole: bool = Fa
 
     def met_before(i: np.ndarray, j: np.ndarray, sig: np.ndarray, tree: np.ndarray, shallow: np.ndarray) -> np.ndarray:
         """Whether an earlier tree has the two in one region of the first level."""
-        heads = sig.reshape(len(sig), TREES, DEPTH)[:, :, : LEVELS[0]]
+        heads = sig[:, : TREES * DEPTH].reshape(len(sig), TREES, DEPTH)[:, :, : LEVELS[0]]
         open_to = (shallow[:, None] >> np.arange(TREES) & 1).astype(bool) & (np.arange(TREES) < tree[:, None])
         out = np.zeros(len(i), bool)
         for at in range(0, len(i), 50_000):
@@ -158,7 +162,14 @@ def _candidates(members: DataFrame, least: float, ratio: float, whole: bool = Fa
         np.fill_diagonal(ok, False)
         if (own != own[0]).any():
             ok &= own[:, None] != own[None, :]
-        if whole:
+        if turn == 1:
+            names, at, counts = np.unique(root, return_inverse=True, return_counts=True)
+            few = np.flatnonzero((at != counts.argmax()) & ok.any(axis=1))
+            best = np.argsort(np.where(ok[few], -est[few], 1), axis=1, kind="stable")[:, :NEXT]
+            i, j = np.repeat(few, best.shape[1]), best.ravel()
+            i, j = i[ok[i, j]], j[ok[i, j]]
+            return i, j, est[i, j], np.zeros(len(i), bool)
+        if turn == 2:
             i, j = np.nonzero(np.triu(ok))
             fresh = ~met_before(i, j, sig, *rest)
             i, j = i[fresh], j[fresh]
@@ -176,7 +187,7 @@ def _candidates(members: DataFrame, least: float, ratio: float, whole: bool = Fa
         ok = (est >= least) & (root[at] != root[at + 1])
         ok &= np.minimum(size[at], size[at + 1]) >= ratio * np.maximum(size[at], size[at + 1])
         i, j, est = at[ok], at[ok] + 1, est[ok]
-        if not whole:
+        if turn == 0:
             i, j, est = np.r_[i, j], np.r_[j, i], np.r_[est, est]
         return i, j, est, np.zeros(len(i), bool)
 
@@ -195,7 +206,7 @@ def _candidates(members: DataFrame, least: float, ratio: float, whole: bool = Fa
             yield pa.RecordBatch.from_arrays(part, ["a", "b", "est", "hub"])
 
     found = by_group(members, "g", work, "a binary, b binary, est double, hub boolean")
-    return found if not whole else found.withColumns({"a": F.least("a", "b"), "b": F.greatest("a", "b")})
+    return found if turn == 0 else found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _strongest(found: DataFrame) -> DataFrame:
@@ -237,10 +248,10 @@ def near_duplicates(
     count as texts and have the component of their group (null if all its ids
     are) and ``kept`` false. Other columns are not read. An empty table gives no rows.
 
-    Candidates are found in rounds. At first each class proposes its most
+    Candidates are found in three rounds. At first each class proposes its most
     similar partner in each region, and the hub of a region; what is confirmed
-    joins components. Later rounds look only at pairs across components, and
-    the last one takes all of those, so no link between components is missed
+    joins components. Later rounds look only at pairs across components: some
+    for members outside the main one, and in the last round all of those, so no link between components is missed
     for having been left out before.
     """
     kind = docs.schema[id_col].dataType.simpleString()
@@ -258,19 +269,17 @@ def near_duplicates(
     facts = regions.groupBy("set_key").agg(F.sum(bit).alias("shallow"))
     facts = facts.join(reps.select("set_key", "n", "sig", F.xxhash64("set_key").alias("root")), "set_key")
     members = materialise(_tiles(regions).drop("level").join(facts, "set_key"), "members")
-    proposed = materialise(_strongest(_candidates(members, low, ratio)), "proposed")
+    proposed = materialise(_strongest(_candidates(members, low, ratio, 0)), "proposed")
     nodes = materialise(proposed.select(F.explode(F.array("a", "b")).alias("set_key")).distinct(), "nodes")
     members = materialise(members.join(nodes, "set_key", "left_semi"), "members")
     wanted = reps.select("set_key", "text_key").join(nodes, "set_key", "left_semi")
     whole = materialise(base.join(wanted, "text_key").select("set_key", "text"), "texts")
     confirmed = materialise(_confirmed(proposed, whole, width, percent), "links")
     tried, roots = proposed, components(confirmed)
-    for turn in range(1, LAZY + 1):
+    for turn in (1, 2):
         known = roots.select(F.col("node").alias("set_key"), F.xxhash64("root").alias("known"))
         apart = members.join(known, "set_key", "left").withColumn("root", F.coalesce("known", "root")).drop("known")
-        found = _candidates(apart, low, ratio, whole=turn == LAZY)
-        found = found.select("a", "b").distinct() if turn == LAZY else _strongest(found)
-        found = materialise(found.join(tried, ["a", "b"], "left_anti"), "proposed")
+        found = materialise(_candidates(apart, low, ratio, turn).join(tried, ["a", "b"], "left_anti"), "proposed")
         if found.isEmpty():
             continue
         tried = tried.union(found)
