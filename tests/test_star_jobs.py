@@ -14,67 +14,62 @@ from tidemark.sources.readers import fan_out, read_csv
 
 UTC = timezone.utc
 
-# id, parent, time, amount: five good rows, then one row per irregularity
+# four good rows among others that lack a part or can't be typed
 AMOUNTS = '''ID,Baby ID,Time,Amount (ml)
-101,1,"02.03.2026, 06:20",120
-102,1,"05.03.2026, 11:45",150
-103,1,"09.03.2026, 15:10",90
-104,1,"14.03.2026, 19:35",130
-105,1,"20.03.2026, 22:05",110
-901,1,,120
-902,1,"22.03.2026, 08:00",
-903,,"23.03.2026, 09:15",100
-,1,"24.03.2026, 10:20",115
-904,1,"31.02.2026, 08:00",130
-905,1,"25.03.2026, 09:30",abc
-906,1,"26.03.2026, 10:45",-5
+3017,1,"31.11.2025, 08:40",75
+3003,1,"04.10.2025, 23:55",210
+3021,1,"11.11.2025, 16:25",lots
+3008,1,"29.10.2025, 00:05",185
+,1,"07.11.2025, 13:30",65
+3011,1,,240
+3014,,"02.11.2025, 04:45",170
+3005,1,"13.10.2025, 17:15",55
+3022,1,"12.11.2025, 18:05",-20
+3009,1,"31.10.2025, 21:50",225
+3012,1,"09.11.2025, 03:35",
+3023,1,"12.11.2025, 25:10",90
 '''
 
 MORE_AMOUNTS = '''ID,Baby ID,Time,Amount (ml),Note
-201,1,"18.03.2026, 07:20",125,"older than the mark"
-202,1,"2026-04-22 08:45",140,"other format"
-203,1,"22.04.2026, 14:10",95,"new"
-204,1,"23.04.2026, 05:35",160,"new"
-205,1,"23.04.2026, 18:50",110,"new"
-801,1,,"120","no time"
-802,1,"24.04.2026, 09:00",,"no amount"
-803,,"24.04.2026, 10:15",100,"no parent"
-,1,"24.04.2026, 11:20",115,"no id"
-804,1,2026-04-24 12:00,130,"other format again"
-805,1,"24.04.2026, 13:40",abc,"no number"
-806,1,"31.02.2026, 08:00",120,"no such day"
+3040,1,"26.11.2025, 20:20",many,in words
+3031,1,"23.11.2025, 02:10",205,in between
+3042,1,"30.02.2025, 09:00",80,February
+3032,1,"24.11.2025, 15:40",70,in between
+,1,"27.11.2025, 09:25",190,unnumbered
+3030,1,"19.10.2025, 12:05",145,found again
+3033,1,2025-11-25 22:30,60,typed by hand
+3041,1,"26.11.2025, 21:45",-1,below zero
+3034,1,"26.11.2025, 05:55",215,in between
+3037,1,,"85",undated
+3035,1,"27.11.2025, 07:45",230,after the move
+3038,,"27.11.2025, 08:15",175,whose
+3036,1,"27.11.2025, 11:10",50,after the move
+3039,1,"26.11.2025, 23:05",,how much
 '''
 
-SLEEPS = '''﻿Baby,Time,Duration(minutes),Note
-Anna,"03.03.2026, 21:30",95,good
-Anna,"06.03.2026, 14:10",42,good
-Anna,"10.03.2026, 09:05",120,good
-Anna,"15.03.2026, 12:40",60,good
-Anna,"22.03.2026, 19:15",75,good
-Anna,"25.03.2026, 08:30",0,zero
-Anna,"26.03.2026, 07:20",-15,negative
-Anna,"27.03.2026, 10:00",abc,no number
-Anna,"28.03.2026, 11:00",,no duration
-Anna,,"45",no time
-Anna,"31.03.2099, 09:00",30,future
-Anna,"2026-03-18 10:00",30,other format
-Anna,"20.03.2026, 10:00",30,
+SLEEPS = '''\ufeffBaby,Time,Duration(minutes),Note
+Mira,"14.11.2025, 03:20",205,
+Mira,"2025-10-22 06:00",70,dashes
+Mira,"02.10.2025, 06:10",33,first
+Mira,"17.11.2025, 05:00",1.5,fraction
+Mira,"19.10.2025, 22:45",148,
+Mira,,"80",undated
+Mira,"27.10.2025, 13:05",17,short
+Mira,"18.11.2025, 02:30",0,awake
+Mira,"01.01.2098, 04:00",50,to come
+Mira,"08.11.2025, 16:55",91,
+Mira,"16.11.2025, 01:15",-40,backwards
 '''
 
 DIAPERS = '''Baby,Time,Status,Note
-Anna,"03.03.2026, 07:20",Wet,good
-Anna,"07.03.2026, 12:45",Dirty,good
-Anna,"12.03.2026, 18:05",Mixed,good
-Anna,"18.03.2026, 10:30",wet,good
-Anna,"24.03.2026, 21:10",DIRTY,good
-Anna,"25.03.2026, 08:30",,blank
-Anna,"26.03.2026, 09:00",123,number
-Anna,"27.03.2026, 10:00",poop,no status
-Anna,,"Wet",no time
-Anna,"31.03.2099, 10:00",Wet,future
-Anna,"2026-03-18 10:00",Wet,other format
-Anna,"32.03.2026, 11:00",Wet,no such day
-Anna,"28.03.2026, 13:45",Mixed,
+Mira,"03.11.2025, 19:40",MIXED,
+Mira,"30.13.2025, 10:00",dirty,month
+Mira,"06.10.2025, 04:25",dirty,
+Mira,"12.11.2025, 08:30",unknown,word
+Mira,"15.11.2025, 23:10",Wet,
+Mira,,"Mixed",undated
+Mira,"21.10.2025, 14:50",Wet,
+Mira,"13.11.2025, 09:00",,blank
 '''
 
 
@@ -92,7 +87,7 @@ def star(spark, tmp_path_factory):
         (base / name).write_text(text, encoding="utf-8")
     subject, slept, changed = import_history(
         read_csv(spark, str(base / "sleep.csv")), read_csv(spark, str(base / "diaper.csv")),
-        "Anna", "Europe/Chisinau", at("2026-04-20T00:00"),
+        "Mira", "Asia/Tokyo", at("2025-11-20T00:00"),
     )
     docs = base / "docs"
     for row in changed.good.collect():
@@ -102,62 +97,59 @@ def star(spark, tmp_path_factory):
         (folder / f"{row.id}.json").write_text(json.dumps([entry]))
 
     documents = fan_out(spark, str(docs), ["id", "change_time", "status"], "parent_id", multiline=True)
-    wh = Warehouse(spark, str(base / "wh"), at("2026-04-21T19:35"))
+    wh = Warehouse(spark, str(base / "wh"), at("2025-11-21T08:15"))
     first = initial_load(
         wh,
         Sources(subject, slept.good, str(base / "amounts.csv"), status_documents=documents),
-        at("2026-04-21T00:00"),
+        at("2025-11-21T00:00"),
     )
     snapshot = {t: wh.tables.read(t).count() for t in ("fact_sleep", "fact_diaper", "fact_formula_feed", "dim_baby", "dim_diaper_status", "dim_date", "dim_time", "stg_formula")}
 
     # A second subject appears, the first one moves to another zone.
-    subjects = spark.createDataFrame([(1, "Anna", "Europe/Berlin"), (2, "Test", "UTC")], BABY_INFO)
+    subjects = spark.createDataFrame([(1, "Mira", "America/Lima"), (2, "Odo", "Africa/Cairo")], BABY_INFO)
+    naps = ["2025-11-02T05:15", "2025-11-22T21:05", "2025-11-23T11:50", "2025-11-24T18:35", "2025-11-25T02:25", "2025-11-26T14:00"]
     durations = slept.good.unionByName(spark.createDataFrame(
-        [(70001, at("2026-03-21T23:40"), 90, 2), (70002, at("2026-04-22T00:15"), 75, 2),
-         (70003, at("2026-04-22T10:05"), 55, 2), (70004, at("2026-04-23T01:20"), 110, 2),
-         (70005, at("2026-04-23T12:45"), 65, 2)], SLEEP_DATA))
+        [(5000 + i, at(t), 21 + 7 * i, 2) for i, t in enumerate(naps)], SLEEP_DATA))
+    changes = [("2025-11-25T16:20", "mixed"), ("2025-11-01T10:30", "dirty"), ("2025-11-26T07:05", "wet")]
     statuses = changed.good.unionByName(spark.createDataFrame(
-        [(71001, at("2026-03-20T02:30"), "wet", 2), (71002, at("2026-04-22T13:10"), "dirty", 2),
-         (71003, at("2026-04-23T03:50"), "mixed", 2), (71004, at("2026-04-23T15:25"), "wet", 2),
-         (71005, at("2026-04-24T04:05"), "dirty", 2)], DIAPER_DATA))
-    later = Warehouse(spark, str(base / "wh"), at("2026-04-24T09:00"))
+        [(6000 + i, at(t), status, 2) for i, (t, status) in enumerate(changes)], DIAPER_DATA))
+    later = Warehouse(spark, str(base / "wh"), at("2025-11-27T06:30"))
     sources = Sources(subjects, durations, str(base / "more.csv"), statuses=statuses)
-    second = incremental_load(later, sources, at("2026-04-24T00:00"))
+    second = incremental_load(later, sources, at("2025-11-27T00:00"))
     return {"wh": later, "first": first, "second": second, "snapshot": snapshot,
             "slept": slept, "changed": changed, "sources": sources}
 
 
 def test_seed_import_counts(star):
-    for part in ("slept", "changed"):
-        assert star[part].good.count() == 6
-        assert star[part].bad.count() == 7
+    counts = {part: (star[part].good.count(), star[part].bad.count()) for part in ("slept", "changed")}
+    assert counts == {"slept": (5, 6), "changed": (4, 4)}
 
 
 def test_seed_import_times_and_statuses(star):
     first = star["slept"].good.orderBy("sleep_start").select(
         F.date_format("sleep_start", "yyyy-MM-dd HH:mm")).first()[0]
-    assert first == "2026-03-03 19:30"  # two hours ahead of UTC in winter
+    assert first == "2025-10-01 21:10"  # nine hours ahead of UTC
     statuses = {r.status for r in star["changed"].good.select("status").collect()}
     assert statuses == {"wet", "dirty", "mixed"}
 
 
 def test_initial_load(star):
     assert star["snapshot"] == {
-        "fact_sleep": 6, "fact_diaper": 6, "fact_formula_feed": 7, "dim_baby": 2,
-        "dim_diaper_status": 4, "dim_date": 4018, "dim_time": 1440, "stg_formula": 9,
+        "fact_sleep": 5, "fact_diaper": 4, "fact_formula_feed": 6, "dim_baby": 2,
+        "dim_diaper_status": 4, "dim_date": 4018, "dim_time": 1440, "stg_formula": 8,
     }
     assert all(o.status == "success" for o in star["first"].values())
-    assert star["first"]["stg_formula"].mark == at("2026-03-24T10:20")
+    assert star["first"]["stg_formula"].mark == at("2025-11-09T03:35")
 
 
 def test_incremental_load_counts(star):
     done = star["second"]
-    assert done["stg_sleep"].inserted == 4  # one of the five lies before the mark
-    assert done["stg_diaper"].inserted == 4
-    assert done["stg_formula"].inserted == 10  # a file is not filtered by the mark
-    assert done["fact_sleep"].inserted == 4
-    assert done["fact_diaper"].inserted == 4
-    assert done["fact_formula_feed"].inserted == 8
+    assert done["stg_sleep"].inserted == 5  # one of the six lies before the mark
+    assert done["stg_diaper"].inserted == 2
+    assert done["stg_formula"].inserted == 11  # a file is not filtered by the mark
+    assert done["fact_sleep"].inserted == 5
+    assert done["fact_diaper"].inserted == 2
+    assert done["fact_formula_feed"].inserted == 9
     assert done["dim_diaper_status"].inserted == 0
 
 
@@ -167,8 +159,8 @@ def test_subject_versions(star):
         "timezone_iana", "is_current", F.date_format("valid_from", "MM-dd HH:mm").alias("f"),
         F.date_format("valid_to", "yyyy-MM-dd HH:mm:ss").alias("t")).collect()
     assert [tuple(r) for r in rows] == [
-        ("Europe/Chisinau", False, "04-21 19:35", "2026-04-24 09:00:00"),
-        ("Europe/Berlin", True, "04-24 09:00", "2099-12-31 23:59:59"),
+        ("Asia/Tokyo", False, "11-21 08:15", "2025-11-27 06:30:00"),
+        ("America/Lima", True, "11-27 06:30", "2099-12-31 23:59:59"),
     ]
     assert dim.where("baby_nk = 2 AND is_current").count() == 1
     assert dim.where("baby_nk = -1").first().baby_sk == -1
@@ -180,21 +172,21 @@ def test_subject_versions(star):
 def test_facts_take_the_version_of_their_time(star):
     wh = star["wh"]
     dim = wh.tables.read("dim_baby").select("baby_sk", "timezone_iana", "baby_nk")
-    amounts = wh.tables.read("fact_formula_feed").where("f_feeding_date_sk >= 20260422").join(dim, "baby_sk")
+    amounts = wh.tables.read("fact_formula_feed").where("f_feeding_date_sk >= 20251123").join(dim, "baby_sk")
     zones = {(r.f_feeding_date_sk, r.timezone_iana) for r in amounts.collect()}
-    # 22-23 April lie in the older version, the rest of 24 April in the newer
-    assert (20260422, "Europe/Chisinau") in zones and (20260424, "Europe/Berlin") in zones
-    late = wh.tables.read("fact_formula_feed").where("f_feeding_date_sk = 20260318").join(dim, "baby_sk")
-    assert [r.timezone_iana for r in late.collect()] == ["Europe/Berlin"]  # before every version
+    # 23-26 November lie in the older version, what follows on the 27th in the newer
+    assert (20251123, "Asia/Tokyo") in zones and (20251127, "America/Lima") in zones
+    late = wh.tables.read("fact_formula_feed").where("f_feeding_date_sk = 20251019").join(dim, "baby_sk")
+    assert [r.timezone_iana for r in late.collect()] == ["America/Lima"]  # before every version
 
 
 def test_repeating_a_run_adds_nothing(star):
     wh, src = star["wh"], star["sources"]
     before = {t: wh.tables.read(t).count() for t in ("fact_sleep", "fact_diaper", "fact_formula_feed", "dim_baby")}
-    again = incremental_load(wh, src, at("2026-04-24T00:00"))
+    again = incremental_load(wh, src, at("2025-11-27T00:00"))
     assert {o.status for o in again.values()} == {"skipped"}
     # A new run finds no new rows; the same file is not taken twice.
-    other = incremental_load(wh, src, at("2026-04-25T00:00"))
+    other = incremental_load(wh, src, at("2025-11-28T00:00"))
     assert other["stg_formula"].status == "skipped"
     assert other["stg_sleep"].inserted == 0
     # an empty batch keeps its mark
@@ -208,11 +200,11 @@ def test_quarantine_and_good_rows_add_up(star, spark):
     by_job = {r.job_id: r["count"] for r in bad.groupBy("job_id").count().collect()}
     runs = {r.job_id: r for r in wh.ledger.runs().collect()}
     jobs = [o["stg_formula"].job_id for o in (star["first"], star["second"])]
-    assert [by_job[j] for j in jobs] == [3, 2]
-    assert [runs[j].rows_inserted_count for j in jobs] == [9, 10]
+    assert [by_job[j] for j in jobs] == [4, 3]
+    assert [runs[j].rows_inserted_count for j in jobs] == [8, 11]
     messages = {r.error_message for r in bad.collect()}
-    assert "Cannot convert '-5' to non-negative int" in messages
-    assert "Cannot convert '31.02.2026, 08:00' to datetime" in messages
+    assert "Cannot convert '-20' to non-negative int" in messages
+    assert "Cannot convert '31.11.2025, 08:40' to datetime" in messages
 
 
 def test_ledger_lineage(star):
