@@ -1,4 +1,4 @@
-"""Every registered query against its SQL on the smallest tables."""
+"""Every query that has SQL against it on the smallest tables."""
 
 import os
 import sys
@@ -20,7 +20,7 @@ def con():
     return oracle.connect(PATH)
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if n not in WHOLE_WAREHOUSES])
+@pytest.mark.parametrize("name", [n for n in oracle_sql() if n not in WHOLE_WAREHOUSES])
 def test_query_agrees_with_sql(spark, con, name):
     assert oracle.differences(queries()[name](spark, PATH), con, oracle_sql()[name]) == []
 

@@ -119,13 +119,15 @@ def zone_to_utc(spark: SparkSession, path: str) -> DataFrame:
 
 
 @query("""
-SELECT event_id, sha256(concat_ws('|', CAST(event_id AS VARCHAR), strftime(ts, '%Y-%m-%d %H:%M:%S.%f'),
+SELECT event_id, sha256(concat_ws('|', CAST(event_id AS VARCHAR),
+       CASE WHEN date_trunc('second', ts) = ts THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+            ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END,
        CASE WHEN event_id % 11 = 0 THEN 'None' ELSE event_type END, CAST(user_id AS VARCHAR))) AS row_hash,
        substr(sha256(strftime(ts, '%Y-%m-%dT%H:%M:%S') || '|' || CAST(user_id AS VARCHAR)), 1, 16) AS made_id
-FROM events WHERE date_trunc('second', ts) <> ts""")
+FROM events""")
 def row_hashes(spark: SparkSession, path: str) -> DataFrame:
     """Content hash of whole rows, and the id derived from time and parent."""
-    events = table(spark, path, "events").where("date_trunc('second', ts) <> ts")
+    events = table(spark, path, "events")
     exact, whole = c.wall_text(F.col("ts")), c.wall_text(F.date_trunc("second", "ts"))
     label = F.when(F.col("event_id") % 11 != 0, F.col("event_type"))
     return events.select(

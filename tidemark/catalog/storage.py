@@ -139,7 +139,7 @@ def partition_pruned_scan(spark: SparkSession, path: str) -> DataFrame:
 
 
 @query("""
-SELECT event_id, event_type, CAST(day(ts) AS INTEGER) AS job_id FROM events WHERE day(ts) <= 20""")
+SELECT event_id, event_type, CAST(day(ts) AS INTEGER) AS job_id FROM events""")
 def staging_append(spark: SparkSession, path: str) -> DataFrame:
     """Batches appended to a table; one batch is written twice and counts once."""
     tables = Tables(spark, workspace(spark, "staging"))
@@ -147,7 +147,7 @@ def staging_append(spark: SparkSession, path: str) -> DataFrame:
         "event_id", "event_type", F.dayofmonth("ts").alias("job_id")
     )
     tables.append("stg_event", rows.where("job_id <= 10"), ["job_id"])
-    tables.append("stg_event", rows.where("job_id BETWEEN 11 AND 20"), ["job_id"])
+    tables.append("stg_event", rows.where("job_id > 10"), ["job_id"])
     tables.append("stg_event", rows.where("job_id = 15"), ["job_id"])
     return tables.read("stg_event", rows.schema)
 

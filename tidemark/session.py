@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -40,11 +41,13 @@ def workspace(spark: SparkSession, purpose: str) -> str:
     """A fresh directory for intermediate tables.
 
     It lies below ``spark.checkpoint.dir``, the folder all executors share. A
-    local temporary folder is used only where that setting is absent, as in a
-    single-machine test.
+    local temporary folder is used only where that setting is absent and the
+    master is this machine alone; on a cluster the setting is required.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/tidemark-{purpose}-{uuid.uuid4().hex[:12]}"
