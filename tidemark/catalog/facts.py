@@ -37,28 +37,30 @@ def staged_events(spark: SparkSession, path: str, grain: str | None = None) -> D
 
 
 def active_members(spark: SparkSession, path: str) -> DataFrame:
-    """Open versions of the customers in credit; the others are unknown."""
-    return table(spark, path, "customer").where("c_acctbal >= 0").select(
+    """A version of each customer, open for those in credit; the others are unknown now."""
+    return table(spark, path, "customer").select(
         F.col("c_custkey").alias("baby_nk"), F.col("c_custkey").alias("baby_sk"),
-        F.lit(True).alias("is_current"),
+        F.coalesce(F.col("c_acctbal") >= 0, F.lit(False)).alias("is_current"),
     )
 
 
 def versioned_members(spark: SparkSession, path: str) -> DataFrame:
-    """Two versions of each of them; the key is twice the customer, plus one for the second.
+    """Two versions of each customer; the key is twice the customer, plus one for the second.
 
     The first version begins on the fifth of the month, so that earlier events
-    fall back to the open version.
+    fall back to the open version. The second ends on the twentieth for
+    customers in debt, which have no open version.
     """
+    open_ = F.col("is_current")
+    end = F.when(open_, F.lit("2099-12-31 23:59:59")).otherwise(F.lit("2024-01-20"))
     parts = [
-        ("2024-01-05", "2024-01-15", 0, False),
-        ("2024-01-15", "2099-12-31 23:59:59", 1, True),
+        ("2024-01-05", F.lit("2024-01-15"), 0, F.lit(False)),
+        ("2024-01-15", end, 1, open_),
     ]
     both = F.array(*[
         F.struct(
             F.lit(a).cast("timestamp_ntz").alias("valid_from"),
-            F.lit(b).cast("timestamp_ntz").alias("valid_to"), F.lit(n).alias("n"),
-            F.lit(c).alias("is_current"),
+            b.cast("timestamp_ntz").alias("valid_to"), F.lit(n).alias("n"), c.alias("is_current"),
         )
         for a, b, n, c in parts
     ])
@@ -80,9 +82,12 @@ def stored_history(spark: SparkSession, path: str) -> DataFrame:
 _MEMBERS = "m AS (SELECT c_custkey AS nk FROM customer WHERE c_acctbal >= 0)"
 
 _VERSIONS = f"""{_MEMBERS},
-v AS (SELECT nk, nk * 2 AS sk, TIMESTAMP '2024-01-05' AS f, TIMESTAMP '2024-01-15' AS t, false AS cur FROM m
+v AS (SELECT c_custkey AS nk, c_custkey * 2 AS sk, TIMESTAMP '2024-01-05' AS f, TIMESTAMP '2024-01-15' AS t,
+             false AS cur FROM customer
       UNION ALL
-      SELECT nk, nk * 2 + 1, TIMESTAMP '2024-01-15', TIMESTAMP '2099-12-31 23:59:59', true FROM m)"""
+      SELECT c_custkey, c_custkey * 2 + 1, TIMESTAMP '2024-01-15',
+             CASE WHEN c_acctbal >= 0 THEN TIMESTAMP '2099-12-31 23:59:59' ELSE TIMESTAMP '2024-01-20' END,
+             coalesce(c_acctbal >= 0, false) FROM customer)"""
 
 
 @query(f"""

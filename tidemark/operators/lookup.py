@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.operators.carry import Ordered
 from tidemark.operators.skew import HOT, SLICE, HotKeys, hot_keys, replicate_slices, with_slice
@@ -57,13 +57,19 @@ def interval_join(
     Small dimensions with few versions per member take a broadcast hash join
     with the range as a residual condition. Otherwise see ``asof_join``.
     ``columns`` of the matching version are added, NULL where none matches.
+
+    A fact stays one row, also where versions of a member overlap: the version
+    that began last decides (of several that began together the one that ends
+    last, then the one with the largest columns), and a later start ends the
+    versions before it.
     """
     if fits_broadcast(versions) and most_versions(versions, key) <= FEW_VERSIONS:
-        right = versions.select(
-            F.col(key).alias("__nk"),
-            F.col(valid_from).alias("__from"),
-            F.col(valid_to).alias("__to"),
-            *columns,
+        following = F.lead("__at").over(Window.partitionBy("__key").orderBy("__at"))
+        right = _starts(versions, key, columns, valid_from, valid_to).select(
+            F.col("__key").alias("__nk"),
+            F.col("__at").alias("__from"),
+            F.least(F.col("__version")["__to"], following).alias("__to"),
+            *[F.col("__version")[c].alias(c) for c in columns],
         )
         condition = (
             (F.col(key) == F.col("__nk"))
@@ -74,6 +80,16 @@ def interval_join(
     return asof_join(facts, versions, key, ts, columns, valid_from, valid_to)
 
 
+def _starts(
+    versions: DataFrame, key: str, columns: Sequence[str], valid_from: str, valid_to: str
+) -> DataFrame:
+    """``__key, __at, __version``: one version per member and start, of those that last."""
+    payload = F.struct(F.col(valid_to).alias("__to"), *columns)
+    lasting = versions.where(F.col(key).isNotNull() & (F.col(valid_from) < F.col(valid_to)))
+    starts = lasting.groupBy(F.col(key).alias("__key"), F.col(valid_from).alias("__at"))
+    return starts.agg(F.max(payload).alias("__version"))
+
+
 def most_versions(versions: DataFrame, key: str) -> int:
     """Largest number of versions of one member (one number from one small job)."""
     row = versions.groupBy(key).count().agg(F.max("count")).first()
@@ -94,10 +110,9 @@ def asof_join(
     Events and versions are sorted together per key and each event takes the
     last version that began at or before it. The work is linear in both sides,
     where a join on the key alone would pair every event with every version of
-    its member. Versions of one member must not overlap.
+    its member.
     """
     row = F.struct(*[F.col(c) for c in facts.columns])
-    payload = F.struct(F.col(valid_to).alias("__to"), *columns)
     keyed = facts.where(F.col(key).isNotNull())
     events = keyed.select(
         F.col(key).alias("__key"),
@@ -105,16 +120,7 @@ def asof_join(
         F.lit(1).alias("__side"),
         row.alias("__row"),
     )
-    starts = (
-        versions.where(F.col(valid_from) < F.col(valid_to))
-        .where(F.col(key).isNotNull())
-        .select(
-            F.col(key).alias("__key"),
-            F.col(valid_from).alias("__at"),
-            F.lit(0).alias("__side"),
-            payload.alias("__version"),
-        )
-    )
+    starts = _starts(versions, key, columns, valid_from, valid_to).withColumn("__side", F.lit(0))
     merged = events.unionByName(starts, allowMissingColumns=True)
     carried = (
         Ordered(merged, "__key", ["__at", "__side"])
