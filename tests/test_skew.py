@@ -1,5 +1,6 @@
 """Hot keys: the sliced forms give the same rows as the plain ones."""
 
+import random
 from datetime import datetime
 
 import pytest
@@ -10,6 +11,8 @@ from tidemark.operators.carry import Ordered
 from tidemark.operators.changes import apply_changes
 from tidemark.operators.lookup import asof_join, interval_join, lookup_join, resolve_member
 from tidemark.operators.skew import SLICE, hot_keys, with_slice
+from tidemark.plans.operational import feed_events
+from tidemark.session import fits_broadcast
 
 START = datetime(2024, 1, 1)
 
@@ -136,3 +139,57 @@ def test_first_per_key_limits_before_the_shuffle(events):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Partial") > plan.index("Exchange") > plan.index("Final")
     assert rows.count() == 17
+
+
+def test_overlapping_versions_give_one_row_whatever_the_size(spark):
+    versions = spark.sql(
+        "SELECT * FROM VALUES (1, 0L, 100L, 'a'), (1, 10L, 20L, 'b'), (1, 10L, 30L, 'c'), (1, 10L, 30L, 'd'), "
+        "(1, 50L, 40L, 'never'), (2, 0L, 10L, 'e'), (2, 5L, 50L, 'f'), (NULL, 0L, 9L, 'no key') "
+        "AS t(k, valid_from, valid_to, v)"
+    )
+    assert fits_broadcast(versions)
+    facts = spark.createDataFrame(
+        [(k, t) for k in (1, 2, 3, None) for t in (-1, 0, 5, 10, 19, 25, 30, 60, 100)], "k int, t long"
+    )
+    small = interval_join(facts, versions, "k", "t", ["v"])
+    large = asof_join(facts, versions, "k", "t", ["v"])
+    same(small, large)
+    assert small.count() == facts.count()
+    found = {(r.k, r.t): r.v for r in small.collect()}
+    assert [found[1, t] for t in (0, 10, 25, 30, 60)] == ["a", "d", "d", None, None]
+    assert [found[2, t] for t in (0, 5, 25)] == ["e", "f", "f"]
+
+
+def test_owner_follows_the_order_of_the_feed(spark):
+    draw = random.Random(5)
+    events = {i: draw.choice([1, 2, 3]) for i in range(0, 30, 2)}
+    feed = [
+        (seq, draw.choice("IIDDU"), draw.randrange(30), draw.choice([1, 2, 3, 4]), draw.choice([5, 5, 5, -1]))
+        for seq in range(900)
+    ]
+    feed.append((900, "U", None, 1, 5))
+    at = datetime(2024, 1, 1)
+    stored = spark.createDataFrame([(i, at, 1, p) for i, p in events.items()], "id int, t timestamp, n int, baby_id int")
+    changes = spark.createDataFrame(
+        [(s, o, i, p, at, n) for s, o, i, p, n in feed],
+        "seq int, op string, id int, baby_id int, t timestamp, n int",
+    )
+    subjects = spark.createDataFrame([(1,), (2,), (3,)], "id int")
+    out = feed_events(stored, subjects, changes, "t", "n", datetime(2024, 2, 1))
+
+    owner, wrong = dict(events), {}
+    for seq, op, i, parent, n in feed:
+        if i is None or i <= 0:
+            wrong[seq] = "positive_id"
+        elif op != "D" and n < 0:
+            wrong[seq] = "positive_n"
+        elif op == "I" and parent == 4:
+            wrong[seq] = "parent_exists"
+        elif owner.get(i, parent) != parent:
+            wrong[seq] = "belongs_to_parent"
+        elif op == "I":
+            owner[i] = parent
+        elif op == "D":
+            owner.pop(i, None)
+    assert {r.seq: r.error_message for r in out.rejected.collect()} == wrong
+    assert {r.id: r.baby_id for r in out.table.collect()} == owner

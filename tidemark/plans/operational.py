@@ -6,18 +6,21 @@ rows as they are.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.coerce import clean_status, clean_text, strict_wall_clock, wall_clock_to_utc
 from tidemark.functions.keys import instant
 from tidemark.operators import rules as r
 from tidemark.operators.changes import apply_changes
+from tidemark.operators.carry import Ordered
 from tidemark.operators.lookup import lookup_join
 from tidemark.operators.surrogate import assign_keys
+from tidemark.session import materialise
 from tidemark.sinks.quarantine import raw_json
 
 # Fixed values
@@ -134,24 +137,18 @@ def feed_events(
 ) -> Applied:
     """Applies ``op, seq, id, baby_id, <ts>, <measure>`` changes to events.
 
-    Inserts need an existing subject; updates and deletes must name the subject
-    the event belongs to. A change to an unknown event has no effect.
+    Inserts need an existing subject; changes must name the subject the event
+    belongs to at that point of the feed (``seq``, unique per id): the one of
+    the last accepted insert, or of ``events`` where the feed has not deleted
+    the event before. A change to an unknown event has no effect.
     """
     is_status = dict(feed.dtypes)[measure] == "string"
     clean = feed.withColumn(measure, clean_status(F.col(measure))) if is_status else feed
     value = r.valid_status(measure) if is_status else r.positive(measure)
 
-    # Events the feed itself inserts belong to their subject from then on.
-    inserted = clean.where("op = 'I'").select("id", "baby_id")
-    owners = (
-        events.select("id", "baby_id", F.lit(0).alias("__new"))
-        .unionByName(inserted.withColumn("__new", F.lit(1)))
-        .groupBy("id")
-        .agg(F.min_by("baby_id", F.struct("__new", "baby_id")).alias("baby_id"))
-    )
-    owned = r.ownership(clean, owners, "id", "baby_id", "seq")
     parents = subjects.select(F.col("id").alias("baby_id"), F.lit(True).alias("__parent"))
-    checked = lookup_join(owned, parents, "baby_id", "seq")
+    owners = events.select("id", F.col("baby_id").alias("__owner"))
+    checked = lookup_join(lookup_join(clean, parents, "baby_id", "seq"), owners, "id", "seq")
 
     change = F.col("op") != "D"
     rules = [
@@ -162,7 +159,57 @@ def feed_events(
             *r.required(ts, measure), r.not_future(ts, instant(now)), value
         )],
         r.Rule("parent_exists", (F.col("op") != "I") | F.col("__parent")),
-        r.Rule("belongs_to_parent", F.col("ownership") != "foreign_parent"),
     ]
     judged = checked.withColumn("error_message", r.first_failure(rules)).drop("__parent")
-    return _apply(events, judged, events.columns)
+    owned = owner_in_feed(materialise(judged, "judged"))
+    foreign = F.col("error_message").isNull() & (F.col("__owner") != F.col("baby_id"))
+    reason = F.when(foreign, "belongs_to_parent").otherwise(F.col("error_message"))
+    judged = owned.withColumn("error_message", reason).drop("__owner")
+    return _apply(events, materialise(judged, "judged"), events.columns)
+
+
+def owner_in_feed(judged: DataFrame) -> DataFrame:
+    """Brings ``__owner``, the subject of the event before the feed, up to each change.
+
+    Only inserts and deletes without an ``error_message`` can move an event,
+    and whether they do depends on those before them, so they are followed in
+    order: rows stream through a task by id and ``seq`` with one owner as the
+    state. Runs of the same change count once, which leaves few rows of an id
+    that is repeated often.
+    """
+    turns = judged.where("error_message IS NULL AND op IN ('I', 'D')").select("id", "seq", "op", "baby_id", "__owner")
+    step = F.struct("op", "baby_id")
+    turns = Ordered(turns, "id", ["seq"]).with_previous("__before", step).rows()
+    turns = turns.where(~step.eqNullSafe(F.col("__before"))).drop("__before")
+    kinds = {f.name: f.dataType.simpleString() for f in judged.schema.fields}
+    moves = turns.repartition("id").sortWithinPartitions("id", "seq").mapInArrow(
+        _moves, f"id {kinds['id']}, seq {kinds['seq']}, owner {kinds['__owner']}"
+    )
+    state = F.struct("owner").alias("__state")
+    merged = (
+        judged.where("id IS NOT NULL").withColumn("__side", F.lit(0))
+        .unionByName(moves.select("id", "seq", state, F.lit(1).alias("__side")), allowMissingColumns=True)
+    )
+    latest = Ordered(merged, "id", ["seq", "__side"]).with_latest("__now", F.col("__state"))
+    owner = F.when(F.col("__now").isNull(), F.col("__owner")).otherwise(F.col("__now.owner"))
+    known = latest.where("__side = 0").rows().withColumn("__owner", owner).select(*judged.columns)
+    return known.unionByName(judged.where("id IS NULL"))
+
+
+def _moves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Inserts and deletes in order, reduced to those that change the owner, with the owner after them."""
+    event = owner = None
+    for batch in batches:
+        kept, after = [], []
+        columns = [batch.column(n).to_pylist() for n in ("id", "op", "baby_id", "__owner")]
+        for i, (id_, op, parent, first) in enumerate(zip(*columns, strict=True)):
+            if id_ != event:
+                event, owner = id_, first
+            moved = owner is None if op == "I" else owner is not None and owner == parent
+            if moved:
+                owner = parent if op == "I" else None
+                kept.append(i)
+                after.append(owner)
+        rows = batch.select(["id", "seq"]).take(pa.array(kept, pa.int64()))
+        kind = batch.schema.field("__owner").type
+        yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(after, kind)], ["id", "seq", "owner"])
