@@ -253,3 +253,63 @@ def test_several_changes_in_one_batch(spark, tmp_path):
         assert sorted((r.nk, r.attr) for r in opened.collect()) == expected
         current = opened.where("is_current").groupBy("nk").count().collect()
         assert all(r["count"] == 1 for r in current) and len(current) == 2
+
+
+def test_a_broken_run_leaves_nothing(spark, tmp_path, monkeypatch):
+    """Rows count with the success of their run, and a resumed run starts from what it began with."""
+    from tidemark.plans import dimensions, staging
+
+    root, day = str(tmp_path / "wh"), [at(f"2026-02-0{d}T00:00") for d in (1, 2, 3)]
+    first = Warehouse(spark, root, day[0])
+    staging.stage_subjects(first, "a", day[0], spark.createDataFrame([(1, "Ann", "Asia/Tokyo")], BABY_INFO))
+    dimensions.load_subjects(first, "a", day[0])
+    later = Warehouse(spark, root, day[1])
+    moved = spark.createDataFrame([(1, "Ann", "America/Lima")], BABY_INFO)
+    staging.restage_subjects(later, "b", day[1], moved)
+
+    def lost(*_, **__):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(later.ledger, "finish", lost)
+    with pytest.raises(KeyboardInterrupt):
+        dimensions.load_subject_versions(later, "b", day[1])
+    again = Warehouse(spark, root, day[1])
+    assert [r.timezone_iana for r in again.tables.read("dim_baby").where("baby_nk = 1").collect()] == ["Asia/Tokyo"]
+    assert dimensions.load_subject_versions(again, "b", day[1]).inserted == 1
+    versions = again.tables.read("dim_baby").where("baby_nk = 1").orderBy("valid_from").collect()
+    assert [(r.timezone_iana, r.is_current) for r in versions] == [("Asia/Tokyo", False), ("America/Lima", True)]
+    assert versions[0].valid_to == versions[1].valid_from
+
+    naps = spark.createDataFrame([(1, day[0], 30, 1), (2, day[0], -5, 1)], SLEEP_DATA)
+    with monkeypatch.context() as broken:
+        broken.setattr(staging, "write_quarantine", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            staging.stage_durations(again, "c", day[2], naps)
+    assert again.tables.read("stg_sleep").count() == 0
+    staging.stage_durations(again, "c", day[2], naps)
+    assert again.tables.read("stg_sleep").count() == 1
+
+
+def test_streamed_batches_stand_beside_others(spark, tmp_path):
+    from tidemark.operators.lineage import new_batches
+    from tidemark.plans.mappings import AMOUNT_FILE
+    from tidemark.plans.staging import stage_amounts
+    from tidemark.sources.readers import text_schema
+    from tidemark.streaming.file_ingest import ingest_available, landed_files
+
+    head = "ID,Baby ID,Time,Amount (ml)\n"
+    inbox, wh = tmp_path / "in", Warehouse(spark, str(tmp_path / "wh"), at("2026-02-01T00:00"))
+    inbox.mkdir()
+    (tmp_path / "whole.csv").write_text(head + "1,1,2026-01-01 08:00,50\n2,1,2026-01-01 09:00,60\n")
+    stage_amounts(wh, "a", at("2026-02-01T00:00"), str(tmp_path / "whole.csv"))
+    mark = wh.ledger.last_mark("staging", "stg_formula", "extract")
+    schema = text_schema(["ID", "Baby ID", "Time", "Amount (ml)"])
+    for n in range(2):
+        (inbox / f"{n}.csv").write_text(head + f"{7 + n},1,2026-01-02 08:0{n},70\n")
+        files = landed_files(spark, str(inbox), schema)
+        ingest_available(wh, files, "stg_formula", AMOUNT_FILE, str(tmp_path / f"checkpoint{n}"))
+    staged = [(r.source_id, r.job_id) for r in wh.tables.read("stg_formula").orderBy("source_id", "job_id").collect()]
+    assert [s for s, _ in staged] == ["1", "2", "7", "7", "8"]  # the second checkpoint knows no file
+    batches = new_batches(wh.ledger.runs(), "stg_formula", "fact_formula_feed")
+    assert {r.job_id for r in batches.collect()} == {j for _, j in staged}
+    assert wh.ledger.last_mark("staging", "stg_formula", "extract") == mark

@@ -62,10 +62,12 @@ def new_batches(runs: DataFrame, staging_table: str, core_table: str) -> DataFra
 def only_batches(staged: DataFrame, batches: DataFrame) -> DataFrame:
     """Staged rows of the given batches.
 
-    Staging is partitioned by ``job_id`` and the list comes from the ledger,
-    so Spark prunes the partitions of all other batches at run time.
+    Staging is partitioned by ``job_id``. The list comes from the ledger, some
+    numbers per load, so it is read first and becomes a partition filter on
+    literals: no batch is shuffled by its id.
     """
-    return staged.join(batches, "job_id", "left_semi")
+    listed = [r["job_id"] for r in batches.select("job_id").distinct().collect()]
+    return staged.where(F.col("job_id").isin(listed))
 
 
 def has_run(runs: DataFrame, condition: Column) -> bool:

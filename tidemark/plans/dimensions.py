@@ -13,7 +13,7 @@ from tidemark.operators.insert_absent import absent_rows
 from tidemark.operators.lineage import new_batches, only_batches
 from tidemark.operators.series import date_members, time_members
 from tidemark.operators.surrogate import assign_keys
-from tidemark.plans.ledger import JobSpec, Outcome, run_job
+from tidemark.plans.ledger import JobSpec, Outcome
 from tidemark.plans.staging import Warehouse
 from tidemark.schemas import CORE
 from tidemark.session import materialise
@@ -29,7 +29,7 @@ def load_spec(task: str, path: str, table: str, load_type: str) -> JobSpec:
 
 
 SUBJECT_VERSIONS = scd2.VersionedBy(
-    nk="baby_nk", attr="timezone", effective="loaded_at", order=("job_id", "loaded_at")
+    nk="baby_nk", attr="timezone", effective="loaded_at", order=("job_id", "loaded_at", "row_hash")
 )
 
 
@@ -37,21 +37,21 @@ def load_dates(
     wh: Warehouse, dag: str, when: datetime, first: date = FIRST_DATE, last: date = LAST_DATE
 ) -> Outcome:
     def work(job_id: int) -> Outcome:
-        rows = wh.tables.replace("dim_date", date_members(wh.spark, first, last))["rows"]
+        rows = wh.tables.replace("dim_date", date_members(wh.spark, first, last), run=job_id)["rows"]
         return Outcome("success", job_id, rows, rows)
 
-    return run_job(
-        wh.ledger, load_spec("to_core_dim_date", "no path", "dim_date", "initial"), dag, when, work
+    return wh.run(
+        load_spec("to_core_dim_date", "no path", "dim_date", "initial"), dag, when, work
     )
 
 
 def load_times(wh: Warehouse, dag: str, when: datetime) -> Outcome:
     def work(job_id: int) -> Outcome:
-        rows = wh.tables.replace("dim_time", time_members(wh.spark))["rows"]
+        rows = wh.tables.replace("dim_time", time_members(wh.spark), run=job_id)["rows"]
         return Outcome("success", job_id, rows, rows)
 
-    return run_job(
-        wh.ledger, load_spec("to_core_dim_time", "no path", "dim_time", "initial"), dag, when, work
+    return wh.run(
+        load_spec("to_core_dim_time", "no path", "dim_time", "initial"), dag, when, work
     )
 
 
@@ -84,11 +84,12 @@ def load_statuses(wh: Warehouse, dag: str, when: datetime) -> Outcome:
             "dim_diaper_status",
             unknown.unionByName(members),
             measures={"new": F.count_if(F.col("job_id") == job_id)},
+            run=job_id,
         )
         return Outcome("success", job_id, rows["rows"], rows["new"])
 
     spec = load_spec("to_core_dim_diaper_status", "staging.stg_diaper", "dim_diaper_status", "initial")
-    return run_job(wh.ledger, spec, dag, when, work)
+    return wh.run(spec, dag, when, work)
 
 
 def load_new_statuses(wh: Warehouse, dag: str, when: datetime) -> Outcome:
@@ -106,7 +107,7 @@ def load_new_statuses(wh: Warehouse, dag: str, when: datetime) -> Outcome:
     spec = load_spec(
         "to_core_dim_diaper_status", "staging.stg_diaper", "dim_diaper_status", "incremental"
     )
-    return run_job(wh.ledger, spec, dag, when, work)
+    return wh.run(spec, dag, when, work)
 
 
 def _subject_rows(versions: DataFrame, wh: Warehouse, job_id: int) -> DataFrame:
@@ -155,11 +156,12 @@ def load_subjects(wh: Warehouse, dag: str, when: datetime) -> Outcome:
             "dim_baby",
             unknown.unionByName(_subject_rows(keyed, wh, job_id)),
             measures={"new": F.count_if(F.col("job_id") == job_id)},
+            run=job_id,
         )
         return Outcome("success", job_id, rows["rows"], rows["new"])
 
     spec = load_spec("to_core_dim_baby", "staging.stg_baby", "dim_baby", "initial")
-    return run_job(wh.ledger, spec, dag, when, work)
+    return wh.run(spec, dag, when, work)
 
 
 def load_subject_versions(
@@ -201,8 +203,9 @@ def load_subject_versions(
                 "new": F.count_if(is_new),
                 "closed": F.count_if(~is_new & (F.col("updated_at") == now)),
             },
+            run=job_id,
         )
         return Outcome("success", job_id, seen["new"] + seen["closed"], seen["new"])
 
     spec = load_spec("to_core_dim_baby", "staging.stg_baby", "dim_baby", "incremental")
-    return run_job(wh.ledger, spec, dag, when, work)
+    return wh.run(spec, dag, when, work)

@@ -14,7 +14,7 @@ from tidemark.operators.lineage import new_batches, only_batches
 from tidemark.operators.lookup import lookup_join, resolve_member
 from tidemark.operators.scd2 import UNKNOWN_KEY
 from tidemark.plans.dimensions import UNKNOWN_STATUS, load_spec
-from tidemark.plans.ledger import Outcome, run_job
+from tidemark.plans.ledger import Outcome
 from tidemark.plans.staging import Warehouse
 
 
@@ -106,11 +106,11 @@ def load_fact(wh: Warehouse, dag: str, when: datetime, fact: Fact) -> Outcome:
         known = with_current_subject(events, wh.tables.read("dim_baby"), fact.ts)
         order = survivors_first(known, "baby_id", fact.ts)
         rows = fact_rows(absent_rows(known, None, fact.key, order), fact, wh, job_id)
-        seen = wh.tables.replace(fact.table, rows)["rows"]
+        seen = wh.tables.replace(fact.table, rows, run=job_id)["rows"]
         return Outcome("success", job_id, seen, seen)
 
     spec = load_spec(fact.task, f"staging.{fact.staging}", fact.table, "initial")
-    return run_job(wh.ledger, spec, dag, when, work)
+    return wh.run(spec, dag, when, work)
 
 
 def load_new_facts(wh: Warehouse, dag: str, when: datetime, fact: Fact) -> Outcome:
@@ -125,17 +125,14 @@ def load_new_facts(wh: Warehouse, dag: str, when: datetime, fact: Fact) -> Outco
         staged = only_batches(wh.tables.read(fact.staging), batches)
         events = keyed_events(staged, fact)
         known = with_subject_at(events, wh.tables.read("dim_baby"), fact.ts)
-        # Rows this very run left behind in a failed attempt are written again.
-        present = in_months_of(
-            wh.tables.read(fact.table).where(F.col("job_id") != job_id), events, fact
-        )
+        present = in_months_of(wh.tables.read(fact.table), events, fact)
         order = survivors_first(known, "baby_id", fact.ts)
         rows = fact_rows(absent_rows(known, present, fact.key, order), fact, wh, job_id)
         seen = wh.tables.append(fact.table, rows)["rows"]
         return Outcome("success", job_id, seen, seen)
 
     spec = load_spec(fact.task, f"staging.{fact.staging}", fact.table, "incremental")
-    return run_job(wh.ledger, spec, dag, when, work)
+    return wh.run(spec, dag, when, work)
 
 
 def in_months_of(table: DataFrame, events: DataFrame, fact: Fact) -> DataFrame:

@@ -46,6 +46,7 @@ class Ledger:
         self.spark, self.path, self.clock = spark, path.rstrip("/"), clock
         self._used: dict[str, int] = {}
         self._open: dict[int, dict[str, object]] = {}  # states of the runs in progress here
+        self._unfinished: set[int] | None = None
 
     def _file(self, name: str = ""):
         target = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
@@ -77,6 +78,13 @@ class Ledger:
         self._used[column] += 1
         return self._used[column]
 
+    def unfinished(self) -> set[int]:
+        """Ids of the runs that have not ended in success; read once, since this is the only writer."""
+        if self._unfinished is None:
+            found = self.runs().where(~F.col("status").isin("success", "skipped")).select("job_id")
+            self._unfinished = {r["job_id"] for r in found.collect()}
+        return self._unfinished
+
     def _append(self, state: dict[str, object]) -> None:
         seq = self._next("seq")
         text = json.dumps({n: _plain(v) for n, v in state.items()} | {"seq": seq})
@@ -87,6 +95,9 @@ class Ledger:
         finally:
             out.close()
         job_id = state["job_id"]
+        if self._unfinished is not None:
+            done = state["status"] in ("success", "skipped")
+            (self._unfinished.discard if done else self._unfinished.add)(job_id)
         if state["status"] == "running":
             self._open[job_id] = state
         else:
@@ -221,18 +232,22 @@ def run_job(
     dag_id: str,
     logical_date: datetime,
     work: Callable[[int], Outcome],
+    undo: Callable[[int], None] | None = None,
 ) -> Outcome:
     """Runs ``work`` once per (dag, task, logical date) and records the run.
 
     A run that already succeeded is skipped and one that was left running is
     resumed under its id. A failure is recorded with the step it happened in
-    and raised again.
+    and raised again. ``undo`` removes what a run has written; it comes after a
+    failure and before a run is resumed.
     """
     done, job_id = ledger.earlier(dag_id, spec.task_id, logical_date)
     if done:
         return Outcome("skipped")
     if job_id is None:
         job_id = ledger.start(dag_id, spec.task_id, logical_date)
+    elif undo:
+        undo(job_id)
     step = "load_type_check"
     try:
         once_only = spec.load_type == "incremental" and spec.source_type == "csv"
@@ -253,6 +268,8 @@ def run_job(
         return Outcome("skipped", job_id)
     except Exception as error:
         ledger.finish(job_id, "failed", 0, 0, f"[step={step}] {error}")
+        if undo:
+            undo(job_id)
         raise
     ledger.finish(job_id, "success", outcome.affected, outcome.inserted, mark=outcome.mark)
     return replace(outcome, status="success", job_id=job_id)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark.functions.keys import instant
 from tidemark.plans import mappings as m
 from tidemark.plans.ledger import JobSpec, Ledger, Outcome, from_micros, run_job
-from tidemark.sinks.quarantine import quarantine_rows, write_quarantine
+from tidemark.sinks.quarantine import drop_quarantine, quarantine_rows, write_quarantine
 from tidemark.sinks.tables import Tables
 from tidemark.sources.readers import after_mark, read_csv
 
@@ -24,10 +25,21 @@ class Warehouse:
     run_ts: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
 
     def __post_init__(self) -> None:
-        self.tables = Tables(self.spark, f"{self.root}/tables")
         self.ledger = Ledger(self.spark, f"{self.root}/metadata/etl_job", lambda: self.run_ts)
+        self.tables = Tables(self.spark, f"{self.root}/tables", self.ledger.unfinished)
         self.quarantine = f"{self.root}/quarantine"
 
+    def run(
+        self, spec: JobSpec, dag: str, when: datetime, work: Callable[[int], Outcome]
+    ) -> Outcome:
+        """``run_job`` on this warehouse: rows and quarantine of a run count with its success only."""
+
+        def undo(job_id: int) -> None:
+            self.tables.discard(spec.table, job_id)
+            drop_quarantine(self.spark, f"{self.quarantine}/{spec.table}", job_id)
+
+        return run_job(self.ledger, spec, dag, when, work, undo)
+
 
 def extract_spec(task: str, source: str, path: str, table: str, load_type: str) -> JobSpec:
     return JobSpec(task, "extract", source, path, "staging", table, load_type)
@@ -83,8 +95,10 @@ def stage_rows(
     measures = {"good": F.count_if(good)}
     if mark_column:
         measures["mark"] = F.max(F.when(good, F.unix_micros(mark_column)))
-    write = wh.tables.replace if spec.replaces else wh.tables.append
-    seen = write(spec.table, rows, measures=measures)
+    if spec.replaces:
+        seen = wh.tables.replace(spec.table, rows, measures=measures, run=job_id)
+    else:
+        seen = wh.tables.append(spec.table, rows, measures=measures)
     if seen["rows"] > seen["good"]:
         bad = wh.tables.rejected(spec.table, job_id)
         write_quarantine(
@@ -117,7 +131,7 @@ def stage_table(
             rows = after_mark(source, event_column, mark)
         return stage_rows(wh, spec, rows, mapping, job_id, mark_column, mark)
 
-    return run_job(wh.ledger, spec, dag, when, work)
+    return wh.run(spec, dag, when, work)
 
 
 def stage_subjects(wh: Warehouse, dag: str, when: datetime, table: DataFrame) -> Outcome:
@@ -162,7 +176,7 @@ def stage_status_documents(
             parent_id=F.col("parent_id"),
         )
 
-    return run_job(wh.ledger, STAGE_STATUS_DOCUMENTS, dag, when, work)
+    return wh.run(STAGE_STATUS_DOCUMENTS, dag, when, work)
 
 
 def stage_amounts(
@@ -178,4 +192,4 @@ def stage_amounts(
             wh, spec, read_csv(wh.spark, path), m.AMOUNT_FILE, job_id, "feed_time", mark
         )
 
-    return run_job(wh.ledger, spec, dag, when, work)
+    return wh.run(spec, dag, when, work)

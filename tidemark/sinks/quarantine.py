@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.keys import instant
 
@@ -28,3 +28,10 @@ def quarantine_rows(bad: DataFrame, job_id: int | None, rule: str, at: datetime)
 def write_quarantine(rows: DataFrame, path: str, job_id: int) -> None:
     """JSON lines from every task; a run's directory is replaced when it is retried."""
     rows.write.mode("overwrite").json(f"{path.rstrip('/')}/run={job_id}")
+
+
+def drop_quarantine(spark: SparkSession, path: str, job_id: int) -> None:
+    """Removes the directory of a run that did not succeed."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/run={job_id}")
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    target.getFileSystem(conf).delete(target, True)

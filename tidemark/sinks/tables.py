@@ -2,25 +2,33 @@
 
 A table is a directory of versions, ``<name>/v=000007/``. A version counts once
 its ``_READY`` marker exists, so a full replace is one atomic step for readers,
-and a plan may read the old version while the new one is written.
+and a plan may read the old version while the new one is written. A version
+written for a run names it in ``_RUN=<id>``.
+
+Versions and batches of runs that ``unfinished`` lists are passed over, so what
+a run writes shows with its success.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tidemark.schemas import CORE, PARTITIONS, REJECT, STAGING
 
 READY = "_READY"
+RUN = "_RUN="
 _REJECTED = T.StructField("rejected", T.BooleanType())
 
 
 class Tables:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(
+        self, spark: SparkSession, root: str, unfinished: Callable[[], Collection[int]] = tuple
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.unfinished = unfinished
 
     # -- versions -----------------------------------------------------------
 
@@ -48,13 +56,41 @@ class Tables:
     def _path(self, name: str, version: int) -> str:
         return f"{self.root}/{name}/v={version:06d}"
 
-    def _publish(self, name: str, version: int) -> None:
-        fs, marker = self._fs(f"{self._path(name, version)}/{READY}")
-        fs.create(marker, True).close()
-
-    def path(self, name: str) -> str | None:
-        ready = self._versions(name, ready=True)
-        return self._path(name, ready[-1]) if ready else None
+    def _publish(self, name: str, version: int, run: int | None = None) -> None:
+        for mark in [READY] if run is None else [f"{RUN}{run}", READY]:
+            fs, marker = self._fs(f"{self._path(name, version)}/{mark}")
+            fs.create(marker, True).close()
+
+    def _run_of(self, name: str, version: int) -> int | None:
+        """The run a version was written for."""
+        fs, base = self._fs(self._path(name, version))
+        marks = [s.getPath().getName() for s in fs.listStatus(base)]
+        return next((int(m.removeprefix(RUN)) for m in marks if m.startswith(RUN)), None)
+
+    def _current(self, name: str, run: int | None = None) -> int | None:
+        """Newest version that counts; ``run`` sees its own as well."""
+        hidden = set(self.unfinished()) - {run}
+        for version in reversed(self._versions(name, ready=True)):
+            if not hidden or self._run_of(name, version) not in hidden:
+                return version
+        return None
+
+    def path(self, name: str, run: int | None = None) -> str | None:
+        version = self._current(name, run)
+        return None if version is None else self._path(name, version)
+
+    def discard(self, name: str, run: int) -> None:
+        """Removes what a run that did not succeed has written: its versions and its batch."""
+        for version in self._versions(name, ready=False):
+            path = self._path(name, version)
+            fs, target = self._fs(path)
+            if self._run_of(name, version) == run:
+                fs.delete(target, True)
+                continue
+            for pattern in (f"job_id={run}", f"*/job_id={run}"):
+                _, batch = self._fs(f"{path}/{pattern}")
+                for status in fs.globStatus(batch) or ():
+                    fs.delete(status.getPath(), True)
 
     def exists(self, name: str) -> bool:
         return self.path(name) is not None
@@ -72,15 +108,17 @@ class Tables:
         path = self.path(name)
         if path is None:
             return self.spark.createDataFrame([], schema)
-        if name in STAGING:
-            marked = T.StructType([*schema.fields, _REJECTED])
-            return self.spark.read.schema(marked).parquet(path).where("NOT rejected").drop("rejected")
-        return self.spark.read.schema(schema).parquet(path)
+        fields = [*schema.fields, _REJECTED] if name in STAGING else schema.fields
+        rows = self.spark.read.schema(T.StructType(fields)).parquet(path)
+        hidden = sorted(self.unfinished()) if "job_id" in schema.fieldNames() else []
+        if hidden:
+            rows = rows.where(F.col("job_id").isNull() | ~F.col("job_id").isin(hidden))
+        return rows.where("NOT rejected").drop("rejected") if name in STAGING else rows
 
     def rejected(self, name: str, job_id: int) -> DataFrame:
         """Rows of a batch that staging turned away: ``error_message`` and ``raw``."""
         fields = [*REJECT.fields, T.StructField("job_id", T.IntegerType()), _REJECTED]
-        table = self.spark.read.schema(T.StructType(fields)).parquet(self.path(name))
+        table = self.spark.read.schema(T.StructType(fields)).parquet(self.path(name, job_id))
         return table.where((F.col("job_id") == job_id) & F.col("rejected")).select(*REJECT.fieldNames())
 
     # -- writing ------------------------------------------------------------
@@ -91,8 +129,9 @@ class Tables:
         df: DataFrame,
         partition_by: Sequence[str] | None = None,
         measures: dict[str, Column] | None = None,
+        run: int | None = None,
     ) -> dict[str, object]:
-        """Writes and publishes a new version; returns what ``append`` returns."""
+        """Writes and publishes a new version, of a ``run`` if given; returns what ``append`` returns."""
         parts = PARTITIONS.get(name, []) if partition_by is None else list(partition_by)
         version = (self._versions(name, ready=False) or [0])[-1] + 1
         counted, counts = _counted(_spread(df, parts), measures)
@@ -100,7 +139,7 @@ class Tables:
         if parts:
             writer = writer.partitionBy(*parts)
         writer.parquet(self._path(name, version))
-        self._publish(name, version)
+        self._publish(name, version, run)
         return counts()
 
     def append(
@@ -119,8 +158,8 @@ class Tables:
         parts = PARTITIONS.get(name, []) if partition_by is None else list(partition_by)
         if not parts:
             raise ValueError(f"{name} has no batch partitions to append to")
-        ready = self._versions(name, ready=True)
-        version = ready[-1] if ready else (self._versions(name, ready=False) or [0])[-1] + 1
+        current = self._current(name)
+        version = (self._versions(name, ready=False) or [0])[-1] + 1 if current is None else current
         counted, counts = _counted(_spread(df, parts), measures)
         (
             counted.write.mode("overwrite")
@@ -128,7 +167,7 @@ class Tables:
             .partitionBy(*parts)
             .parquet(self._path(name, version))
         )
-        if not ready:
+        if current is None:
             self._publish(name, version)
         return counts()
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.plans.ledger import Outcome, from_micros
 from tidemark.plans.mappings import Mapping
 from tidemark.plans.staging import Warehouse, extract_spec, stage_rows
 
@@ -32,18 +33,26 @@ def landed_files(
 
 
 def ingest_available(
-    wh: Warehouse, files: DataFrame, table: str, mapping: Mapping, checkpoint: str
+    wh: Warehouse, files: DataFrame, table: str, mapping: Mapping, checkpoint: str,
+    mark_column: str | None = None,
 ) -> StreamingQuery:
     """Stages everything that has landed, then stops.
 
-    A micro-batch writes its own ``job_id`` partition. If it is repeated after
-    a failure it replaces that partition, so each row is staged once.
+    A micro-batch is a run of the ledger, named by the checkpoint folder and
+    the number of the batch, so later loads see it as any other batch. If it is
+    repeated after a failure the run is resumed, or skipped where it had
+    succeeded: each row is staged once. Without ``mark_column`` the table
+    keeps its mark.
     """
 
     spec = extract_spec(f"stream_{table}", "stream", checkpoint, table, "incremental")
 
     def stage(batch: DataFrame, epoch: int) -> None:
-        stage_rows(wh, spec, batch, mapping, epoch)
+        def work(job_id: int) -> Outcome:
+            mark = wh.ledger.last_mark("staging", table, "extract")
+            return stage_rows(wh, spec, batch, mapping, job_id, mark_column, mark)
+
+        wh.run(spec, f"stream {checkpoint}", from_micros(epoch), work)
 
     query = (
         files.writeStream.foreachBatch(stage)
