@@ -119,10 +119,19 @@ def _regions(classes: DataFrame) -> DataFrame:
     return done
 
 
+def _blocks(rows: DataFrame) -> DataFrame:
+    """The block ``own`` of each class in its region; each tree deals the classes anew."""
+    return rows.withColumn("own", F.pmod(F.xxhash64("set_key", "tree"), F.col("blocks")).cast("int"))
+
+
+def _single(rows: DataFrame) -> DataFrame:
+    """Each block a group of its own."""
+    g = F.when(F.col("blocks") > 1, F.xxhash64("g", "own")).otherwise(F.col("g"))
+    return rows.withColumn("g", g).drop("blocks")
+
+
 def _tiles(rows: DataFrame) -> DataFrame:
     """Deals large regions to pairs of blocks: each two classes of a region meet in a tile."""
-    block = F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int")
-    rows = rows.withColumn("own", block)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     tiled = rows.where("blocks > 1").withColumn("other", other)
     tiled = tiled.withColumn("g", F.xxhash64("g", F.least("own", "other"), F.greatest("own", "other")))
@@ -251,8 +260,10 @@ def near_duplicates(
     Candidates are found in three rounds. At first each class proposes its most
     similar partner in each region, and the hub of a region; what is confirmed
     joins components. Later rounds look only at pairs across components: some
-    for members outside the main one, and in the last round all of those, so no link between components is missed
-    for having been left out before.
+    for members outside the main one, and in the last round all of those, so no
+    link between components is missed for having been left out before. In the
+    first two rounds the blocks of a large region count as regions, so a class
+    proposes as much there as in a small one; the last compares all blocks.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -268,17 +279,19 @@ def near_duplicates(
     bit = F.when(F.col("level") == LEVELS[0], F.expr("shiftleft(1L, tree)")).otherwise(0)
     facts = regions.groupBy("set_key").agg(F.sum(bit).alias("shallow"))
     facts = facts.join(reps.select("set_key", "n", "sig", F.xxhash64("set_key").alias("root")), "set_key")
-    members = materialise(_tiles(regions).drop("level").join(facts, "set_key"), "members")
-    proposed = materialise(_strongest(_candidates(members, low, ratio, 0)), "proposed")
-    nodes = materialise(proposed.select(F.explode(F.array("a", "b")).alias("set_key")).distinct(), "nodes")
-    members = materialise(members.join(nodes, "set_key", "left_semi"), "members")
+    regions = _blocks(regions.drop("level"))
+    proposed = materialise(_strongest(_candidates(_single(regions).join(facts, "set_key"), low, ratio, 0)), "proposed")
+    nodes = proposed.select(F.explode(F.array("a", "b")).alias("set_key"))
+    nodes = materialise(nodes.union(regions.where("blocks > 1").select("set_key")).distinct(), "nodes")
+    regions = regions.join(nodes, "set_key", "left_semi")
     wanted = reps.select("set_key", "text_key").join(nodes, "set_key", "left_semi")
-    whole = materialise(base.join(wanted, "text_key").select("set_key", "text"), "texts")
+    whole = materialise(base.join(wanted, "text_key").select("set_key", "text").distinct(), "texts")
     confirmed = materialise(_confirmed(proposed, whole, width, percent), "links")
     tried, roots = proposed, components(confirmed)
     for turn in (1, 2):
         known = roots.select(F.col("node").alias("set_key"), F.xxhash64("root").alias("known"))
-        apart = members.join(known, "set_key", "left").withColumn("root", F.coalesce("known", "root")).drop("known")
+        state = facts.join(known, "set_key", "left").withColumn("root", F.coalesce("known", "root")).drop("known")
+        apart = (_single if turn == 1 else _tiles)(regions).join(state, "set_key")
         found = materialise(_candidates(apart, low, ratio, turn).join(tried, ["a", "b"], "left_anti"), "proposed")
         if found.isEmpty():
             continue
