@@ -97,6 +97,22 @@ def test_minhash_large_group(spark, monkeypatch):
     assert [got[i] for i in range(60)] == expected
 
 
+def test_minhash_links_into_a_large_group(spark, monkeypatch):
+    """Documents whose only links, at 0.8, lead into a group beyond the limit of a level are found as in a small one."""
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    monkeypatch.setattr(minhash, "REGION", 16)
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join([*words, f"y{i}"])) for i in range(40)]
+    for i in range(40, 240):
+        own = list(words)
+        for at in 8 + 36 * np.arange(8) + rng.integers(0, 30, 8):
+            own[at] = f"x{i}"
+        rows.append((i, " ".join(own)))
+    docs = prepare(spark).createDataFrame(rows, "doc_id long, text string")
+    assert {r.component_id for r in minhash.near_duplicates(docs).collect()} == {0}
+
+
 def test_byte_bpe(spark, docs):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     enc = bpe.encoding(path, public_tokenizers.PATTERN)

@@ -2,12 +2,12 @@
 
 A document is the set of its word shingles. Documents with equal sets are one
 class from the start. A class has a signature of ``TREES * DEPTH`` minima and
-``EXTRA`` more; a tree orders the classes by its ``DEPTH`` minima, and classes with a long common
-prefix are candidates. How long is settled by region: prefixes of ``LEVELS[0]``
-minima that more than ``REGION`` classes share are told apart by longer ones.
-Two sets of similarity 0.8 share three minima in one of 16 trees but for a
-chance of 1e-5. Regions that stay large are compared block by block, so no
-region is cut short.
+``EXTRA`` more; a tree orders the classes by its ``DEPTH`` minima, and classes that
+share the first ``LEVELS[0]`` are a region. For the early proposals only,
+regions of more than ``REGION`` classes are told apart by longer prefixes; the
+last round compares the regions of the first level whole, the large ones block
+by block. Two sets of similarity 0.8 share three minima in one of 16 trees but
+for a chance of 1e-5, however large the region is.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ EXTRA = 128
 """Minima beyond those of the trees; all together estimate the similarity of candidates."""
 LEVELS = (3, 5, 8)
 REGION = 4096
-"""Classes that share a prefix before a longer one is taken."""
+"""Classes that share a prefix before the early proposals take a longer one."""
 BLOCK = 512
 """Classes of a block; a task holds two blocks of a region at a time."""
 SLACK = 0.1
@@ -100,42 +100,60 @@ def _sets(docs: DataFrame, width: int, kind: str) -> DataFrame:
     return docs.mapInArrow(run, f"id {kind}, text_key long, n_shingles long, set_key binary, sig binary")
 
 
-def _regions(classes: DataFrame) -> DataFrame:
-    """``g, set_key, tree, level, blocks`` of each class in each tree where it shares a region with others."""
+def _regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The regions of the first level, and those of the early proposals, where longer prefixes tell large ones apart.
+
+    Both are ``g, set_key, tree, blocks, large`` of each class in each tree where it shares a region with others.
+    """
     rows = classes.select("set_key", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "sig")
     rows = rows.select("set_key", "tree", F.expr(f"substring(sig, 1 + tree * {2 * DEPTH}, {2 * DEPTH})").alias("path"))
-    done = None
+    whole = early = None
     for level in LEVELS:
         keyed = rows.withColumn("g", F.xxhash64("tree", F.lit(level), F.expr(f"substring(path, 1, {2 * level})")))
         sizes = keyed.groupBy("g").agg(F.count("*").alias("members")).where("members > 1")
         keyed = materialise(keyed.join(sizes, "g"), f"level{level}")
         final = keyed if level == LEVELS[-1] else keyed.where(F.col("members") <= REGION)
         blocks = F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")
-        final = final.select("g", "set_key", "tree", F.lit(level).alias("level"), blocks)
-        done = final if done is None else done.union(final)
+        columns = ["g", "set_key", "tree", blocks, (F.col("members") > min(REGION, BLOCK)).alias("large")]
+        final = final.select(*columns)
+        whole = keyed.select(*columns) if whole is None else whole
+        early = final if early is None else early.union(final)
         rows = keyed.where(F.col("members") > REGION).select("set_key", "tree", "path")
         if level == LEVELS[-1] or rows.isEmpty():
             break
-    return done
-
-
-def _blocks(rows: DataFrame) -> DataFrame:
-    """The block ``own`` of each class in its region; each tree deals the classes anew."""
-    return rows.withColumn("own", F.pmod(F.xxhash64("set_key", "tree"), F.col("blocks")).cast("int"))
+    return whole, early
 
 
 def _single(rows: DataFrame) -> DataFrame:
-    """Each block a group of its own."""
+    """Each block of a large region a group of its own; each tree deals the classes anew."""
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("set_key", "tree"), F.col("blocks")).cast("int"))
     g = F.when(F.col("blocks") > 1, F.xxhash64("g", "own")).otherwise(F.col("g"))
-    return rows.withColumn("g", g).drop("blocks")
+    return rows.withColumn("g", g).drop("blocks", "large")
 
 
 def _tiles(rows: DataFrame) -> DataFrame:
-    """Deals large regions to pairs of blocks: each two classes of a region meet in a tile."""
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    tiled = rows.where("blocks > 1").withColumn("other", other)
+    """Deals large regions to pairs of blocks: each two classes of a region with different roots meet in a tile.
+
+    The classes of a region's most frequent root have blocks of their own,
+    which need not meet each other.
+    """
+    large = rows.where("blocks > 1").drop("blocks", "large")
+    counts = large.groupBy("g", "root").agg(F.count("*").alias("n"))
+    main = counts.groupBy("g").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("members"))
+    main = main.select(
+        "g", F.col("main.root").alias("most"), F.ceil((F.col("members") - F.col("main.n")) / BLOCK).cast("int").alias("others"),
+        F.ceil(F.col("main.n") / BLOCK).cast("int").alias("mains"),
+    )
+    deal = F.xxhash64("set_key", "tree")
+    inside = F.col("root") == F.col("most")
+    dealt = large.join(main.where("others > 0"), "g").withColumn(
+        "own", F.when(inside, F.col("others") + F.pmod(deal, F.col("mains"))).otherwise(F.pmod(deal, F.col("others"))).cast("int")
+    )
+    last = F.when(inside, F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1
+    tiled = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
     tiled = tiled.withColumn("g", F.xxhash64("g", F.least("own", "other"), F.greatest("own", "other")))
-    return rows.where("blocks = 1").drop("blocks").unionByName(tiled.drop("other", "blocks"))
+    small = rows.where("blocks = 1").drop("blocks", "large").withColumn("own", F.lit(0))
+    return small.unionByName(tiled.drop("other", "most", "others", "mains"))
 
 
 def _candidates(members: DataFrame, least: float, ratio: float, turn: int) -> DataFrame:
@@ -151,14 +169,14 @@ def _candidates(members: DataFrame, least: float, ratio: float, turn: int) -> Da
     the member that comes first.
     """
 
-    def met_before(i: np.ndarray, j: np.ndarray, sig: np.ndarray, tree: np.ndarray, shallow: np.ndarray) -> np.ndarray:
+    def met_before(i: np.ndarray, j: np.ndarray, sig: np.ndarray, tree: np.ndarray) -> np.ndarray:
         """Whether an earlier tree has the two in one region of the first level."""
         heads = sig[:, : TREES * DEPTH].reshape(len(sig), TREES, DEPTH)[:, :, : LEVELS[0]]
-        open_to = (shallow[:, None] >> np.arange(TREES) & 1).astype(bool) & (np.arange(TREES) < tree[:, None])
+        earlier = np.arange(TREES) < tree[:, None]
         out = np.zeros(len(i), bool)
         for at in range(0, len(i), 50_000):
             a, b = i[at : at + 50_000], j[at : at + 50_000]
-            out[at : at + 50_000] = ((heads[a] == heads[b]).all(axis=2) & open_to[a]).any(axis=1)
+            out[at : at + 50_000] = ((heads[a] == heads[b]).all(axis=2) & earlier[a]).any(axis=1)
         return out
 
     def of_group(sig: np.ndarray, size: np.ndarray, root: np.ndarray, own: np.ndarray, *rest) -> tuple[np.ndarray, ...]:
@@ -202,11 +220,11 @@ def _candidates(members: DataFrame, least: float, ratio: float, turn: int) -> Da
 
     def work(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u2").reshape(table.num_rows, -1)
-        size, root, own, tree, shallow = (table.column(x).to_numpy() for x in ("n", "root", "own", "tree", "shallow"))
+        size, root, own, tree = (table.column(x).to_numpy() for x in ("n", "root", "own", "tree"))
         counts = np.diff(starts)
         found = [of_twos(starts[:-1][counts == 2], sig, size, root)]
         for lo, hi in zip(starts[:-1][counts > 2], starts[1:][counts > 2], strict=True):
-            i, j, *rest = of_group(*(x[lo:hi] for x in (sig, size, root, own, tree, shallow)))
+            i, j, *rest = of_group(*(x[lo:hi] for x in (sig, size, root, own, tree)))
             found.append((i + lo, j + lo, *rest))
         i, j, est, hub = (np.concatenate(x) for x in zip(*found, strict=True))
         a, b = (table.column("set_key").take(pa.array(x)).combine_chunks() for x in (i, j))
@@ -263,7 +281,8 @@ def near_duplicates(
     for members outside the main one, and in the last round all of those, so no
     link between components is missed for having been left out before. In the
     first two rounds the blocks of a large region count as regions, so a class
-    proposes as much there as in a small one; the last compares all blocks.
+    proposes as much there as in a small one; the last compares all blocks of
+    all regions that share ``LEVELS[0]`` minima, whatever their size.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -275,15 +294,12 @@ def near_duplicates(
     )
     reps = materialise(reps, "classes")
     low, ratio = percent / 100 - SLACK, percent / 100
-    regions = _regions(reps)
-    bit = F.when(F.col("level") == LEVELS[0], F.expr("shiftleft(1L, tree)")).otherwise(0)
-    facts = regions.groupBy("set_key").agg(F.sum(bit).alias("shallow"))
-    facts = facts.join(reps.select("set_key", "n", "sig", F.xxhash64("set_key").alias("root")), "set_key")
-    regions = _blocks(regions.drop("level"))
-    proposed = materialise(_strongest(_candidates(_single(regions).join(facts, "set_key"), low, ratio, 0)), "proposed")
+    regions, early = _regions(reps)
+    facts = reps.select("set_key", "n", "sig", F.xxhash64("set_key").alias("root"))
+    proposed = materialise(_strongest(_candidates(_single(early).join(facts, "set_key"), low, ratio, 0)), "proposed")
     nodes = proposed.select(F.explode(F.array("a", "b")).alias("set_key"))
-    nodes = materialise(nodes.union(regions.where("blocks > 1").select("set_key")).distinct(), "nodes")
-    regions = regions.join(nodes, "set_key", "left_semi")
+    nodes = materialise(nodes.union(regions.where("large").select("set_key")).distinct(), "nodes")
+    regions, early = (x.join(nodes, "set_key", "left_semi") for x in (regions, early))
     wanted = reps.select("set_key", "text_key").join(nodes, "set_key", "left_semi")
     whole = materialise(base.join(wanted, "text_key").select("set_key", "text").distinct(), "texts")
     confirmed = materialise(_confirmed(proposed, whole, width, percent), "links")
@@ -291,7 +307,7 @@ def near_duplicates(
     for turn in (1, 2):
         known = roots.select(F.col("node").alias("set_key"), F.xxhash64("root").alias("known"))
         state = facts.join(known, "set_key", "left").withColumn("root", F.coalesce("known", "root")).drop("known")
-        apart = (_single if turn == 1 else _tiles)(regions).join(state, "set_key")
+        apart = _single(early).join(state, "set_key") if turn == 1 else _tiles(regions.join(state, "set_key"))
         found = materialise(_candidates(apart, low, ratio, turn).join(tried, ["a", "b"], "left_anti"), "proposed")
         if found.isEmpty():
             continue
