@@ -15,10 +15,9 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies."""
+    """Keeps one row of each group of near copies, that with the smallest id; repeated rows and null ids too."""
     prepare(spark)
-    found = minhash.near_duplicates(docs, width=5, percent=80).where("kept").select("doc_id")
-    return docs.join(found.distinct(), "doc_id", "left_semi")
+    return minhash.first_of_each(docs, width=5, percent=80)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -113,6 +113,18 @@ def test_minhash_links_into_a_large_group(spark, monkeypatch):
     assert {r.component_id for r in minhash.near_duplicates(docs).collect()} == {0}
 
 
+def test_one_row_of_each_component(spark):
+    """Rows with null ids, repeated rows, and one id with several texts."""
+    import corpus_pipeline
+
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(None, a, "p"), (None, a, "q"), (1, b, "p"), (1, b, "p"), (2, c, "p"), (0, c, "p"), (2, d, "p"), (None, b, "p")]
+    rows += [(0, f"{b} more", "p"), (5, None, "p"), (6, " ", "p"), (6, " ", "p"), (None, "alone", "p")]
+    docs = prepare(spark).createDataFrame(rows, "doc_id long, text string, row string")
+    kept = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, PATH).collect())
+    assert kept == Counter({(None, a): 1, (0, f"{b} more"): 1, (0, c): 1, (2, d): 1, (5, None): 1, (6, " "): 2, (None, "alone"): 1})
+
+
 def test_byte_bpe(spark, docs):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     enc = bpe.encoding(path, public_tokenizers.PATTERN)

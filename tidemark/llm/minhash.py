@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import by_group, materialise
@@ -94,10 +94,10 @@ def _sets(docs: DataFrame, width: int, kind: str) -> DataFrame:
                 keys.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
                 sigs.append(signature(found) if len(found) else None)
             made = [pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())]
-            names = ["id", "text_key", "n_shingles", "set_key", "sig"]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *made], names)
+            names = ["id", "text_key", "copy_key", "n_shingles", "set_key", "sig"]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), *made], names)
 
-    return docs.mapInArrow(run, f"id {kind}, text_key long, n_shingles long, set_key binary, sig binary")
+    return docs.mapInArrow(run, f"id {kind}, text_key long, copy_key long, n_shingles long, set_key binary, sig binary")
 
 
 def _regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -284,13 +284,54 @@ def near_duplicates(
     proposes as much there as in a small one; the last compares all blocks of
     all regions that share ``LEVELS[0]`` minima, whatever their size.
     """
+    rows, named = _grouped(docs, id_col, text_col, width, percent)
+    named = named.select("set_key", F.col("first.id").alias("component_id"))
+    out = rows.where("set_key is not null").join(named, "set_key").select("id", "n_shingles", "component_id")
+    empty = rows.where("set_key is null").select("id", "n_shingles", F.col("id").alias("component_id"))
+    out = out.unionByName(empty)
+    kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(False))
+    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", kept.alias("kept"))
+
+
+def first_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 80
+) -> DataFrame:
+    """The rows of ``docs``, one of each component of near copies.
+
+    Links are those of ``near_duplicates``. The row with the smallest id stays,
+    null ids last; of several such rows the one whose text has the smallest
+    hash, and of equal ids and texts the one with the smallest hash of all
+    columns (maps aside). So one row stays of rows that occur twice, also where all ids are
+    null, and an id that stays brings no other text of its own along. Texts
+    without words link with nothing, and each row of them stays. A group limit
+    before the shuffle leaves one row of equal ids and texts per task, so many
+    copies are no single task.
+    """
+    _, named = _grouped(docs, id_col, text_col, width, percent)
+    firsts = named.select("first.text_key", "first.copy_key").distinct()
+    words = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    keys = _keys(F.col(id_col), F.col(text_col))
+    keyed = docs.where(words).select(F.struct(*docs.columns).alias("row"), *keys)
+    content = F.xxhash64(*[F.col(f"row.`{c}`") for c, kind in docs.dtypes if "map<" not in kind])
+    order = Window.partitionBy("text_key", "copy_key").orderBy(content)
+    single = keyed.withColumn("place", F.row_number().over(order)).where("place = 1")
+    return single.join(firsts, ["text_key", "copy_key"], "left_semi").select("row.*").union(docs.where(~words))
+
+
+def _keys(id_: F.Column, text: F.Column) -> list[F.Column]:
+    """Two hashes that together stand for an id and a text."""
+    return [F.xxhash64(id_, text).alias("text_key"), F.xxhash64(F.lit(1), text, id_, id_.isNull()).alias("copy_key")]
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The rows with their sets, and of each ``set_key`` the ``first`` row of its component."""
     kind = docs.schema[id_col].dataType.simpleString()
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    base = base.withColumn("text_key", F.xxhash64("id", "text"))
+    base = base.select("*", *_keys(F.col("id"), F.col("text")))
     rows = materialise(_sets(base, width, kind), "sets")
     reps = rows.where("set_key is not null").groupBy("set_key").agg(
-        F.min("id").alias("least"), F.max("n_shingles").alias("n"), F.min("sig").alias("sig"),
-        F.min("text_key").alias("text_key"),
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_key", "copy_key")).alias("first"),
+        F.max("n_shingles").alias("n"), F.min("sig").alias("sig"), F.min("text_key").alias("text_key"),
     )
     reps = materialise(reps, "classes")
     low, ratio = percent / 100 - SLACK, percent / 100
@@ -314,12 +355,7 @@ def near_duplicates(
         tried = tried.union(found)
         confirmed = confirmed.union(materialise(_confirmed(found, whole, width, percent), "links"))
         roots = components(confirmed)
-    named = reps.select("set_key", "least").join(roots.withColumnRenamed("node", "set_key"), "set_key", "left")
+    named = reps.select("set_key", "first").join(roots.withColumnRenamed("node", "set_key"), "set_key", "left")
     named = materialise(named.withColumn("root", F.coalesce("root", "set_key")), "named")
-    firsts = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(firsts, "root").select("set_key", "component_id")
-    out = rows.where("set_key is not null").join(named, "set_key").select("id", "n_shingles", "component_id")
-    empty = rows.where("set_key is null").select("id", "n_shingles", F.col("id").alias("component_id"))
-    out = out.unionByName(empty)
-    kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(False))
-    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", kept.alias("kept"))
+    firsts = named.groupBy("root").agg(F.min("first").alias("first"))
+    return rows, named.select("set_key", "root").join(firsts, "root").select("set_key", "first")
