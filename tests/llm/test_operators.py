@@ -230,6 +230,18 @@ def test_field_carries_labels_to_repeats():
     assert [text[s:e] for s, e in pii.added_spans(text, base, field)["card"]] == ["99-4012888888881881"]
 
 
+def test_field_is_fitted_on_whole_distinct_texts(spark):
+    """Personal data beyond any cut counts, and copies of a text count once."""
+    plain = [f"{'nothing here ' * 6000} 7 mail jo{i}.doe@mail{i}.example.com, bo{i}@x{i}.org or 10.0.{i}.1" for i in range(6)]
+    docs = prepare(spark).createDataFrame([(t,) for t in [*plain, None, "", "no data"]], "text string")
+    field = pii.fit(docs)
+    token = field.unary[pii._features("al.poe@mail9.example.net")].sum(axis=0)
+    assert token.argmax() == 1
+    copies = spark.range(3000).selectExpr("'room 12 of 40' AS text")
+    once, often = (pii.fit(docs.union(x)) for x in (copies.limit(1), copies))
+    assert np.allclose(once.unary, often.unary) and np.allclose(once.chain, often.chain) and np.allclose(once.skip, often.skip)
+
+
 def test_quality(spark, docs):
     table, labels = read(spark, PATH, "documents"), read(spark, PATH, "labels")
     kept = {r.doc_id: r.kept for r in quality.resample(table, labels).collect()}

@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
+import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import texts
 
 KINDS = ("email", "ip", "card", "phone")
-TRAIN_DOCS = 2000
-"""Documents with personal data that the field is trained on, at most."""
-TRAIN_TOKENS = 40_000
+HELD = 50_000
+"""Different looks of tokens that a task counts before it passes its sums on."""
 ROUNDS = 12
 """Rounds of message passing."""
 SURE = 0.9
@@ -203,46 +205,72 @@ def added_spans(text: str, base: dict[str, list[Span]], field: Field) -> dict[st
     return out
 
 
+def _counts(docs: DataFrame, text_col: str) -> DataFrame:
+    """``name, look, label, n``: labelled tokens by features, and pairs of labels of ``chain`` and ``skip`` edges."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: Counter = Counter()
+        for batch in batches:
+            for text in texts(batch.column(0)):
+                base, tokens = base_spans(text), _tokens(text)
+                found = _labels(tokens, base).tolist()
+                for name, edges in zip(("chain", "skip"), _edges(text, tokens), strict=True):
+                    for i, j in edges:
+                        sums[name, bytes((found[i],)), found[j]] += 1
+                        sums[name, bytes((found[j],)), found[i]] += 1
+                rng = random.Random(xxhash.xxh3_64_intdigest(text))
+                for (s, e), label in zip(tokens, found, strict=True):
+                    word = text[s:e]
+                    if label and rng.random() < 0.5:
+                        cut = rng.randrange(len(word))
+                        word = word[:cut] + word[cut + 1 :] if rng.random() < 0.7 else word.upper()
+                    if word:
+                        sums["token", bytes(_features(word)), label] += 1
+                if len(sums) >= HELD:
+                    yield part(sums)
+                    sums.clear()
+        yield part(sums)
+
+    def part(sums: Counter) -> pa.RecordBatch:
+        names, looks, labels = zip(*sums, strict=True) if sums else ((), (), ())
+        columns = [pa.array(names, pa.string()), pa.array(looks, pa.binary()), pa.array(labels, pa.int32()), pa.array(list(sums.values()), pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["name", "look", "label", "n"])
+
+    distinct = docs.where(F.col(text_col).rlike("[0-9@]")).select(text_col).distinct()
+    counted = distinct.mapInArrow(run, "name string, look binary, label int, n long")
+    return counted.groupBy("name", "look", "label").agg(F.sum("n").alias("n"))
+
+
 def fit(docs: DataFrame, text_col: str = "text") -> Field:
-    """Trains the field on at most ``TRAIN_DOCS`` documents in which the patterns find something.
+    """Trains the field on all distinct texts with a digit or @, whole.
 
     The patterns label the tokens, the field learns what such tokens look
     like: a multinomial logistic model for single tokens, half of them damaged
     as in careless writing (a mark or digit lost, other case) so that it
     knows them without the pattern; log odds of agreement for neighbours and for
-    skip edges. The sample is the first by a hash of the text.
+    skip edges. Tasks count tokens by features and label; only these sums reach
+    the driver, one for each look of a token. Copies of a text count once, and
+    the damage follows from the text, so neither order nor partitions matter.
     """
-    with_data = docs.where(F.col(text_col).rlike("[0-9@]")).select(text_col)
-    sample = with_data.orderBy(F.xxhash64(text_col), text_col).select(F.substring(text_col, 1, 1 << 16)).limit(TRAIN_DOCS)
-    rows, labels = [], []
     pairs = {"chain": np.full((5, 5), 0.5), "skip": np.full((5, 5), 0.5)}
-    rng = np.random.Generator(np.random.PCG64(7))
-    for (text,) in sample.toLocalIterator():
-        base, tokens = base_spans(text), _tokens(text)
-        found = _labels(tokens, base)
-        chain, skip = _edges(text, tokens)
-        for name, edges in (("chain", chain), ("skip", skip)):
-            for i, j in edges:
-                pairs[name][found[i], found[j]] += 1
-                pairs[name][found[j], found[i]] += 1
-        for (s, e), label in zip(tokens, found, strict=True):
-            word = text[s:e]
-            if label and rng.random() < 0.5:
-                cut = int(rng.integers(len(word)))
-                word = word[:cut] + word[cut + 1 :] if rng.random() < 0.7 else word.upper()
-            if len(rows) < TRAIN_TOKENS and word:
-                rows.append(_features(word))
-                labels.append(label)
+    seen: dict[bytes, np.ndarray] = {}
+    for name, look, label, n in _counts(docs, text_col).toLocalIterator():
+        if name == "token":
+            seen.setdefault(bytes(look), np.zeros(5))[label] += n
+        else:
+            pairs[name][look[0], label] += n
     unary = np.zeros((WIDTH, 5))
-    if rows:
-        x, y = np.array(rows), np.eye(5)[np.array(labels)]
+    if seen:
+        looks = sorted(seen)
+        x, y = np.frombuffer(b"".join(looks), np.uint8).reshape(len(looks), -1).astype(int), np.array([seen[k] for k in looks])
+        weight = y.sum(axis=1, keepdims=True)
         for step in range(150):
             score = unary[x].sum(axis=1)
             share = np.exp(score - _log_sum(score, 1)[:, None])
             slope = np.zeros_like(unary)
             for column in range(x.shape[1]):
-                np.add.at(slope, x[:, column], y - share)
-            unary += (4.0 / (1 + step / 50)) * slope / len(x) - 1e-4 * unary
+                np.add.at(slope, x[:, column], y - weight * share)
+            unary += (4.0 / (1 + step / 50)) * slope / weight.sum() - 1e-4 * unary
     odds = {}
     for name, table in pairs.items():
         share = table / table.sum()
