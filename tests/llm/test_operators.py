@@ -273,6 +273,21 @@ def test_main_text(spark):
     assert extraction.main_text(pages.limit(0)).count() == 0
 
 
+def test_main_text_of_copies_under_several_urls(spark):
+    """Equal and nearly equal html keeps its text; short paragraphs that pages share stay; common menus go."""
+    own = [" ".join(f"{x}{i}" for i in range(40)) for x in "abcd"]
+    page = f"<body><p>{own[0]}</p><p>Yes.</p><p>{own[1]}</p>"
+    rows = [(1, "http://e.org/p", page), (2, "http://e.org/p?utm_source=x", page), (3, "http://e.org/p#top", page)]
+    rows += [(i, f"http://n.org/{i}", f"<body><p>{own[2]} {own[3]} only{i}</p>") for i in (4, 5, 6)]
+    menu = "".join(f"<div>entry{i}</div>" for i in range(14))
+    rows += [(i, f"http://m.org/{i}", f"<body>{menu}<p>{own[i - 7]}</p><p>Yes.</p><p>end of {i}</p>") for i in (7, 8, 9)]
+    pages = prepare(spark).createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in extraction.main_text(pages).collect()}
+    assert {got[i] for i in (1, 2, 3)} == {f"{own[0]}\nYes.\n{own[1]}"}
+    assert all(got[i] == f"{own[2]} {own[3]} only{i}" for i in (4, 5, 6))
+    assert all(got[i] == f"{own[i - 7]}\nYes.\nend of {i}" for i in (7, 8, 9))
+
+
 def _vectors(spark):
     rng = np.random.default_rng(1)
     base = rng.normal(size=(40, 8))
