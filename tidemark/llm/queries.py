@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, extraction, licenses, minhash, packing, pii, quality, sharding, topk, vectors
+from tidemark.llm import bpe, cascade, dialogue, extraction, gains, licenses, minhash, packing, pii, quality, sharding, sql, topk, vectors
 from tidemark.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,3 +103,19 @@ def op10_sampled_splitters(spark: SparkSession, path: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query(sql.CASCADE)
+def op11_rule_cascade(spark: SparkSession, path: str) -> DataFrame:
+    return cascade.judge(read(spark, path, "documents")).drop("rejected_by")
+
+
+@query(sql.GAINS)
+def op12_gain_resampling(spark: SparkSession, path: str) -> DataFrame:
+    setup = gains.Setup(longest=1, buckets=10_000, least=20, percent=10, seed=2024)
+    return gains.resample(read(spark, path, "documents"), read(spark, path, "benchmark"), setup)
+
+
+@query(sql.DIALOGUE)
+def op13_dialogue_repair(spark: SparkSession, path: str) -> DataFrame:
+    return dialogue.repair_damaged(read(spark, path, "conversations"))
