@@ -124,7 +124,7 @@ def quality_rules() -> list[Rule]:
         Rule("repeats", 100 * F.col("n_repeat_words") > 20 * n),
         Rule("symbols", 10 * F.col("n_symbols") > n),
         Rule("word_length", (F.col("word_chars") < 2 * n) | (F.col("word_chars") > 20 * n)),
-        Rule("repeated_lines", 100 * F.col("n_dup_lines") > 30 * F.size(F.split(text, "\n"))),
+        Rule("repeated_lines", 100 * F.col("n_dup_lines") > 50 * F.size(F.split(text, "\n"))),
         Rule("capitals", 2 * capitals > letters),
         Rule("stutter", 5 * stutter > n),
         Rule("no_letters", 2 * wordlike < n),

@@ -40,7 +40,7 @@ judged AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measured)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 20 * n_words
-         OR 100 * n_dup_lines > 30 * len(lines)
+         OR 100 * n_dup_lines > 50 * len(lines)
          OR 2 * len(regexp_extract_all(text, '\p{Lu}')) > len(regexp_extract_all(text, '\p{L}'))
          OR 5 * len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1])) > n_words
          OR 2 * len(list_filter(words, lambda x: regexp_matches(x, '\p{L}'))) < n_words
