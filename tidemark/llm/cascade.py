@@ -110,7 +110,8 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
-BASE_FAILED = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+def base_failed() -> Column:
+    return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
 def quality_rules() -> list[Rule]:
@@ -133,17 +134,19 @@ def quality_rules() -> list[Rule]:
     ]
 
 
-def ordered(measured: DataFrame, rules: Sequence[Rule], sample: int = SAMPLE) -> list[Rule]:
+def ordered(
+    docs: DataFrame, rules: Sequence[Rule], id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE
+) -> list[Rule]:
     """The rules by rejected rows of a sample per second, the most first.
 
-    A random share of about ``sample`` rows is written once; each rule then
-    runs over it by itself, and its cost is the time beyond that of a run
-    without a rule. Ties and an empty sample keep the given order.
+    A random share of about ``sample`` rows is measured and written once; each
+    rule then runs over it by itself, and its cost is the time beyond that of
+    a run without a rule. Ties and an empty sample keep the given order.
     """
-    total = measured.count()
+    total = docs.count()
     if total == 0 or not rules:
         return list(rules)
-    drawn = materialise(measured.sample(min(1.0, sample / total), seed=7), "rule-sample")
+    drawn = materialise(measures(docs.sample(min(1.0, sample / total), seed=7), id_col, text_col), "rule-sample")
 
     def timed(column: Column) -> tuple[int, float]:
         start = time.perf_counter()
@@ -182,9 +185,8 @@ def judge(
     so their names don't matter; an empty table gives no rows. Texts are taken
     whole: a row needs memory in proportion to its text, nothing is shuffled.
     """
-    measured = measures(docs, id_col, text_col)
-    chain = ordered(measured, quality_rules() if rules is None else rules, sample)
-    judged = measured.withColumns({"base_failed": BASE_FAILED, "rejected_by": rejected_by(chain)})
+    chain = ordered(docs, quality_rules() if rules is None else rules, id_col, text_col, sample)
+    judged = measures(docs, id_col, text_col).withColumns({"base_failed": base_failed(), "rejected_by": rejected_by(chain)})
     return judged.select(
         F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & F.col("rejected_by").isNull()).alias("kept"), "rejected_by",
