@@ -151,6 +151,11 @@ def test_incremental_load_counts(star):
     assert done["fact_diaper"].inserted == 2
     assert done["fact_formula_feed"].inserted == 9
     assert done["dim_diaper_status"].inserted == 0
+    # staged events that lost their minute to another one
+    assert {f: done[f].collided for f in ("fact_sleep", "fact_diaper", "fact_formula_feed")} == {
+        "fact_sleep": 0, "fact_diaper": 0, "fact_formula_feed": 2}
+    runs = star["wh"].ledger.runs().where("destination_table_name = 'fact_formula_feed'")
+    assert {r.rows_collided_count for r in runs.collect()} == {0, 2}
 
 
 def test_subject_versions(star):
@@ -313,3 +318,39 @@ def test_streamed_batches_stand_beside_others(spark, tmp_path):
     batches = new_batches(wh.ledger.runs(), "stg_formula", "fact_formula_feed")
     assert {r.job_id for r in batches.collect()} == {j for _, j in staged}
     assert wh.ledger.last_mark("staging", "stg_formula", "extract") == mark
+
+
+def test_a_resumed_extract_is_loaded_after_later_ones(spark, tmp_path):
+    """Extract 2 stays open while 1 and 3 are loaded; once it succeeds the next load takes it, and it alone."""
+    from tidemark.plans.ledger import JobSpec, Outcome, run_job
+
+    wh = Warehouse(spark, str(tmp_path / "wh"), at("2026-02-01T00:00"))
+
+    def extract(day, work):
+        spec = JobSpec("to_stg", "extract", "db", "x", "staging", "stg_sleep", "incremental")
+        return run_job(wh.ledger, spec, "d", at(f"2026-02-0{day}T00:00"), work)
+
+    def load(day, ledger):
+        seen = []
+        spec = JobSpec("to_core", "transform_load", "db", "staging.stg_sleep", "core", "fact_sleep", "incremental")
+        done = run_job(ledger, spec, "d", at(f"2026-02-0{day}T00:00"), lambda job: (
+            seen.extend(ledger.take(job, "stg_sleep", "fact_sleep")), Outcome("success", job))[1])
+        return sorted(seen), done.job_id
+
+    def broken(job):
+        raise KeyboardInterrupt  # the driver is gone: no state is written
+
+    first = extract(1, lambda job: Outcome("success", job)).job_id
+    with pytest.raises(KeyboardInterrupt):
+        extract(2, broken)
+    third = extract(3, lambda job: Outcome("success", job)).job_id
+    assert load(4, wh.ledger) == ([first, third], third + 1)
+    assert load(5, wh.ledger)[0] == []
+    ranges = wh.ledger.runs().where("job_id = 4").select("loaded_batches").first()[0]
+    assert [(r.first, r.last) for r in ranges] == [(first, first), (third, third)]
+    assert extract(2, lambda job: Outcome("success", job)).job_id == 2
+    other = Warehouse(spark, str(tmp_path / "wh"), at("2026-02-01T00:00")).ledger  # reads the states from their files
+    late, job = load(6, other)
+    assert late == [2] and load(7, other)[0] == []
+    ranges = other.runs().where(F.col("job_id") == job).select("loaded_batches").first()[0]
+    assert [(r.first, r.last) for r in ranges] == [(first, third)]  # no gap is left

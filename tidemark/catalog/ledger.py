@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.catalog import query, table
 from tidemark.operators import lineage
+from tidemark.operators.batches import load_everything
 from tidemark.operators.changes import apply_changes
+from tidemark.operators.skew import hot_keys
+from tidemark.session import materialise
 
 
 def order_log(spark: SparkSession, path: str) -> DataFrame:
@@ -147,6 +152,53 @@ def new_batches_first(spark: SparkSession, path: str) -> DataFrame:
     return lineage.new_batches(event_runs(spark, path), "stg_event", "fact_other")
 
 
+LOADS = [f"{year}-01-01" for year in (1994, 1995, 1997, 1999)]
+# Orders read as extracts: they end on their date, except those of status P,
+# which are resumed and end 400 days later, and those of status O, which stay
+# open. Their ids are in no order of time, so nearly every load has late batches.
+_ENDS = "CASE o_orderstatus WHEN 'F' THEN o_orderdate WHEN 'P' THEN o_orderdate + INTERVAL 400 DAY END"
+
+
+def loads_of_orders(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Batches with the load that took them, and the sets after the last load, for five core tables."""
+    orders = table(spark, path, "orders")
+    ends = F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate")).when(
+        F.col("o_orderstatus") == "P", F.col("o_orderdate") + F.expr("INTERVAL 400 DAY")
+    )
+    runs = orders.select(F.col("o_orderpriority").alias("table"), F.col("o_orderkey").alias("job_id"), ends.alias("ends"))
+    kind = runs.schema["job_id"].dataType.simpleString()
+    loaded = spark.createDataFrame([], f"table string, first {kind}, last {kind}")
+    hot, taken = hot_keys(runs, "table", "job_id"), []
+    for when in LOADS:
+        status = F.when(F.col("ends") < F.lit(when).cast("timestamp_ntz"), "success").otherwise("running")
+        now = runs.select("table", "job_id", status.alias("status"))
+        fresh, after = load_everything(now, loaded, "table", hot)
+        taken.append(materialise(fresh.select("table", "job_id", F.lit(when).alias("load")), "taken"))
+        loaded = materialise(after, "loaded")
+    return reduce(DataFrame.unionByName, taken), loaded
+
+
+@query(f"""
+SELECT o_orderpriority AS "table", o_orderkey AS job_id,
+       (SELECT min(w) FROM (VALUES {", ".join(f"('{w}')" for w in LOADS)}) loads(w) WHERE CAST(w AS TIMESTAMP) > ends) AS load
+FROM (SELECT *, {_ENDS} AS ends FROM orders) WHERE ends < TIMESTAMP '{LOADS[-1]}'""")
+def late_batches(spark: SparkSession, path: str) -> DataFrame:
+    """Every batch with the load that took it; batches end in any order and load once each."""
+    return loads_of_orders(spark, path)[0]
+
+
+@query(f"""
+WITH runs AS (
+  SELECT o_orderpriority AS "table", o_orderkey AS id, coalesce({_ENDS} < TIMESTAMP '{LOADS[-1]}', false) AS done FROM orders),
+marked AS (
+  SELECT *, row_number() OVER (PARTITION BY "table" ORDER BY id) - row_number() OVER (PARTITION BY "table", done ORDER BY id) AS island
+  FROM runs)
+SELECT "table", min(id) AS first, max(id) AS last FROM marked WHERE done GROUP BY "table", island""")
+def loaded_sets(spark: SparkSession, path: str) -> DataFrame:
+    """What each table has loaded, as ranges between runs that are still open."""
+    return loads_of_orders(spark, path)[1]
+
+
 @query("""
 WITH feed AS (
   SELECT o_custkey * 2 AS key, o_orderkey AS seq,

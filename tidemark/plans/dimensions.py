@@ -10,7 +10,7 @@ from tidemark.functions.keys import instant
 from tidemark.operators import scd2
 from tidemark.operators.dedup import latest_load_first, first_per_key
 from tidemark.operators.insert_absent import absent_rows
-from tidemark.operators.lineage import new_batches, only_batches
+from tidemark.operators.lineage import in_batches
 from tidemark.operators.series import date_members, time_members
 from tidemark.operators.surrogate import assign_keys
 from tidemark.plans.ledger import JobSpec, Outcome
@@ -69,6 +69,7 @@ def load_statuses(wh: Warehouse, dag: str, when: datetime) -> Outcome:
     """All staged statuses and the unknown one."""
 
     def work(job_id: int) -> Outcome:
+        wh.ledger.take(job_id, "stg_diaper", "dim_diaper_status")
         staged = wh.tables.read("stg_diaper").where("status IS NOT NULL")
         latest = first_per_key(staged, ["status"], latest_load_first(staged))
         sk, name = UNKNOWN_STATUS
@@ -96,8 +97,7 @@ def load_new_statuses(wh: Warehouse, dag: str, when: datetime) -> Outcome:
     """Statuses of the new batches that the dimension lacks."""
 
     def work(job_id: int) -> Outcome:
-        batches = new_batches(wh.ledger.runs(), "stg_diaper", "dim_diaper_status")
-        staged = only_batches(wh.tables.read("stg_diaper"), batches)
+        staged = in_batches(wh.tables.read("stg_diaper"), wh.ledger.take(job_id, "stg_diaper", "dim_diaper_status"))
         seen = status_members(staged.where("status IS NOT NULL").select("status").distinct(), wh, job_id)
         known = wh.tables.read("dim_diaper_status").where(F.col("job_id") != job_id)
         fresh = absent_rows(seen, known, ["diaper_status_sk"], [F.col("diaper_status_sk")])
@@ -133,6 +133,7 @@ def load_subjects(wh: Warehouse, dag: str, when: datetime) -> Outcome:
     """
 
     def work(job_id: int) -> Outcome:
+        wh.ledger.take(job_id, "stg_baby", "dim_baby")
         staged = wh.tables.read("stg_baby").withColumnRenamed("source_id", "baby_nk")
         order = [F.col("loaded_at").desc(), F.col("job_id").desc(), F.col("row_hash").desc()]
         versions = scd2.initial_versions(staged, SUBJECT_VERSIONS, order)
@@ -174,8 +175,7 @@ def load_subject_versions(
     by = SUBJECT_VERSIONS
 
     def work(job_id: int) -> Outcome:
-        batches = new_batches(wh.ledger.runs(), "stg_baby", "dim_baby")
-        staged = only_batches(wh.tables.read("stg_baby"), batches)
+        staged = in_batches(wh.tables.read("stg_baby"), wh.ledger.take(job_id, "stg_baby", "dim_baby"))
         batch = staged.withColumnRenamed("source_id", by.nk).where(
             F.col(by.nk).isNotNull() & F.col("timezone").isNotNull() & F.col("name").isNotNull()
         )

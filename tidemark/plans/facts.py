@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tidemark.functions.keys import date_key, instant, month_key, time_key
 from tidemark.operators.dedup import latest_load_first
 from tidemark.operators.insert_absent import absent_rows
-from tidemark.operators.lineage import new_batches, only_batches
+from tidemark.operators.lineage import in_batches
 from tidemark.operators.lookup import lookup_join, resolve_member
 from tidemark.operators.scd2 import UNKNOWN_KEY
 from tidemark.plans.dimensions import UNKNOWN_STATUS, load_spec
@@ -98,16 +99,30 @@ def fact_rows(events: DataFrame, fact: Fact, wh: Warehouse, job_id: int) -> Data
     )
 
 
+def _one_per_key(
+    known: DataFrame, present: DataFrame | None, fact: Fact, wh: Warehouse, job_id: int
+) -> tuple[DataFrame, Callable[[int], Outcome]]:
+    """Rows to write, and the outcome by how many were: the others lost their key to one of them or to the table."""
+    seen = Observation()
+    counted = known.observe(seen, F.count(F.lit(1)).alias("events"))
+    rows = fact_rows(absent_rows(counted, present, fact.key, survivors_first(known, "baby_id", fact.ts)), fact, wh, job_id)
+
+    def outcome(written: int) -> Outcome:
+        events = seen.get["events"]
+        return Outcome("success", job_id, written, written, collided=events - written)
+
+    return rows, outcome
+
+
 def load_fact(wh: Warehouse, dag: str, when: datetime, fact: Fact) -> Outcome:
     """Replaces the fact table from all of staging."""
 
     def work(job_id: int) -> Outcome:
+        wh.ledger.take(job_id, fact.staging, fact.table)
         events = keyed_events(wh.tables.read(fact.staging), fact)
         known = with_current_subject(events, wh.tables.read("dim_baby"), fact.ts)
-        order = survivors_first(known, "baby_id", fact.ts)
-        rows = fact_rows(absent_rows(known, None, fact.key, order), fact, wh, job_id)
-        seen = wh.tables.replace(fact.table, rows, run=job_id)["rows"]
-        return Outcome("success", job_id, seen, seen)
+        rows, outcome = _one_per_key(known, None, fact, wh, job_id)
+        return outcome(wh.tables.replace(fact.table, rows, run=job_id)["rows"])
 
     spec = load_spec(fact.task, f"staging.{fact.staging}", fact.table, "initial")
     return wh.run(spec, dag, when, work)
@@ -121,15 +136,12 @@ def load_new_facts(wh: Warehouse, dag: str, when: datetime, fact: Fact) -> Outco
     """
 
     def work(job_id: int) -> Outcome:
-        batches = new_batches(wh.ledger.runs(), fact.staging, fact.table)
-        staged = only_batches(wh.tables.read(fact.staging), batches)
+        staged = in_batches(wh.tables.read(fact.staging), wh.ledger.take(job_id, fact.staging, fact.table))
         events = keyed_events(staged, fact)
         known = with_subject_at(events, wh.tables.read("dim_baby"), fact.ts)
         present = in_months_of(wh.tables.read(fact.table), events, fact)
-        order = survivors_first(known, "baby_id", fact.ts)
-        rows = fact_rows(absent_rows(known, present, fact.key, order), fact, wh, job_id)
-        seen = wh.tables.append(fact.table, rows)["rows"]
-        return Outcome("success", job_id, seen, seen)
+        rows, outcome = _one_per_key(known, present, fact, wh, job_id)
+        return outcome(wh.tables.append(fact.table, rows)["rows"])
 
     spec = load_spec(fact.task, f"staging.{fact.staging}", fact.table, "incremental")
     return wh.run(spec, dag, when, work)

@@ -7,6 +7,7 @@ driver writes at a time, since run ids order the batches.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import datetime, timedelta, timezone
@@ -14,7 +15,9 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.keys import as_utc, instant
-from tidemark.operators.lineage import has_run, last_success, latest_state, succeeded
+from tidemark.operators.batches import ranges_after, with_loaded
+from tidemark.operators.lineage import extract_runs, has_run, last_success, latest_state, loaded_ranges, succeeded
+from tidemark.operators.skew import HotKeys
 from tidemark.schemas import LEDGER, LEDGER_STATUSES
 
 _LOG = T.StructType([*LEDGER.fields, T.StructField("seq", T.LongType())])
@@ -47,6 +50,9 @@ class Ledger:
         self._used: dict[str, int] = {}
         self._open: dict[int, dict[str, object]] = {}  # states of the runs in progress here
         self._unfinished: set[int] | None = None
+        self._stored: DataFrame | None = None  # states written before this object
+        self._added: list[str] = []  # those written by it
+        self._taken: dict[int, list[dict[str, int]]] = {}
 
     def _file(self, name: str = ""):
         target = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
@@ -54,10 +60,20 @@ class Ledger:
         return target.getFileSystem(conf), target
 
     def log(self) -> DataFrame:
-        fs, target = self._file()
-        if not fs.exists(target):
-            return self.spark.createDataFrame([], _LOG)
-        return self.spark.read.schema(_LOG).option("timestampFormat", _STAMP).json(self.path)
+        """All states. Files are read once, since this is the only writer; its own states are added."""
+        if self._stored is None:
+            fs, target = self._file()
+            stored = self.spark.createDataFrame([], _LOG)
+            if fs.exists(target):
+                stored = self.spark.read.schema(_LOG).option("timestampFormat", _STAMP).json(self.path).coalesce(1)
+                # marked as this object's, so that no other's cached states of the path are taken for them
+                stored = stored.withColumn("__reader", F.lit(uuid.uuid4().hex)).cache().drop("__reader")
+            self._stored = stored
+        if not self._added:
+            return self._stored
+        states = F.from_json(F.lit(f"[{','.join(self._added)}]"), T.ArrayType(_LOG), {"timestampFormat": _STAMP})
+        added = self.spark.range(0, 1, 1, 1).select(F.inline(states))
+        return self._stored.unionByName(added)
 
     def runs(self) -> DataFrame:
         """One row per run in its latest state."""
@@ -88,12 +104,14 @@ class Ledger:
     def _append(self, state: dict[str, object]) -> None:
         seq = self._next("seq")
         text = json.dumps({n: _plain(v) for n, v in state.items()} | {"seq": seq})
+        self.log()  # what was there before
         fs, target = self._file(f"{seq:012d}.json")
         out = fs.create(target, False)
         try:
             out.write(bytearray(text.encode()))
         finally:
             out.close()
+        self._added.append(text)
         job_id = state["job_id"]
         if self._unfinished is not None:
             done = state["status"] in ("success", "skipped")
@@ -134,19 +152,34 @@ class Ledger:
             data_source_path=source_path, destination_schema=schema,
             destination_table_name=table, parent_job_id=parent_job_id,
             started_at=self.clock(), ended_at=None, error_message=None,
-            rows_affected_count=None, rows_inserted_count=None,
+            rows_affected_count=None, rows_inserted_count=None, rows_collided_count=None,
         )
 
+    def take(self, job_id: int, staging: str, core: str) -> list[int]:
+        """The batches that a run is to load into a core table; the set with them counts once it succeeds."""
+        runs = self._runs_where(F.col("destination_table_name").isin(staging, core))
+        none_hot = HotKeys("table", T.StringType(), [])
+        extracts = extract_runs(runs, staging, core)
+        marked = with_loaded(extracts, loaded_ranges(runs.where(F.col("job_id") != job_id), core), "table", none_hot)
+        rows = marked.collect()
+        fresh = [r["job_id"] for r in rows if r["status"] == "success" and not r["loaded"]]
+        known = self.spark.createDataFrame(rows, marked.schema).coalesce(1)
+        self._taken[job_id] = [
+            {"first": r["first"], "last": r["last"]} for r in ranges_after(known, "table", none_hot).orderBy("first").collect()
+        ]
+        return fresh
+
     def finish(
         self, job_id: int, status: str, affected: int | None = None, inserted: int | None = None,
-        error: str | None = None, mark: datetime | None = None,
+        error: str | None = None, mark: datetime | None = None, collided: int | None = None,
     ) -> None:
         if status not in LEDGER_STATUSES or status == "running":
             raise ValueError(f"Invalid status: {status}")
         self._change(
             job_id, status=status, ended_at=self.clock(), rows_affected_count=affected,
             rows_inserted_count=inserted, error_message=error,
-            last_loaded_event_ts_watermark=mark,
+            last_loaded_event_ts_watermark=mark, rows_collided_count=collided,
+            loaded_batches=self._taken.pop(job_id, None) if status == "success" else None,
         )
 
     def _same_run(self, dag_id: str, task_id: str, logical_date: datetime):
@@ -220,6 +253,7 @@ class Outcome:
     affected: int = 0
     inserted: int = 0
     mark: datetime | None = None
+    collided: int | None = None  # rows that lost their key to another row
 
 
 class SkipRun(Exception):
@@ -271,5 +305,5 @@ def run_job(
         if undo:
             undo(job_id)
         raise
-    ledger.finish(job_id, "success", outcome.affected, outcome.inserted, mark=outcome.mark)
+    ledger.finish(job_id, "success", outcome.affected, outcome.inserted, mark=outcome.mark, collided=outcome.collided)
     return replace(outcome, status="success", job_id=job_id)

@@ -6,11 +6,10 @@ rows as they are.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.coerce import clean_status, clean_text, strict_wall_clock, wall_clock_to_utc
@@ -172,20 +171,11 @@ def owner_in_feed(judged: DataFrame) -> DataFrame:
     """Brings ``__owner``, the subject of the event before the feed, up to each change.
 
     Only inserts and deletes without an ``error_message`` can move an event,
-    and whether they do depends on those before them, so they are followed in
-    order: rows stream through a task by id and ``seq`` with one owner as the
-    state. Runs of the same change count once, which leaves few rows of an id
-    that is repeated often.
+    see ``owner_moves``; every change takes the owner after the last of them.
     """
-    turns = judged.where("error_message IS NULL AND op IN ('I', 'D')").select("id", "seq", "op", "baby_id", "__owner")
-    step = F.struct("op", "baby_id")
-    turns = Ordered(turns, "id", ["seq"]).with_previous("__before", step).rows()
-    turns = turns.where(~step.eqNullSafe(F.col("__before"))).drop("__before")
     kinds = {f.name: f.dataType.simpleString() for f in judged.schema.fields}
-    moves = turns.repartition("id").sortWithinPartitions("id", "seq").mapInArrow(
-        _moves, f"id {kinds['id']}, seq {kinds['seq']}, owner {kinds['__owner']}"
-    )
-    state = F.struct("owner").alias("__state")
+    moves = owner_moves(judged.where("error_message IS NULL AND op IN ('I', 'D') AND id IS NOT NULL"))
+    state = F.struct(F.col("owner").cast(kinds["__owner"]).alias("owner")).alias("__state")
     merged = (
         judged.where("id IS NOT NULL").withColumn("__side", F.lit(0))
         .unionByName(moves.select("id", "seq", state, F.lit(1).alias("__side")), allowMissingColumns=True)
@@ -196,20 +186,46 @@ def owner_in_feed(judged: DataFrame) -> DataFrame:
     return known.unionByName(judged.where("id IS NULL"))
 
 
-def _moves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Inserts and deletes in order, reduced to those that change the owner, with the owner after them."""
-    event = owner = None
-    for batch in batches:
-        kept, after = [], []
-        columns = [batch.column(n).to_pylist() for n in ("id", "op", "baby_id", "__owner")]
-        for i, (id_, op, parent, first) in enumerate(zip(*columns, strict=True)):
-            if id_ != event:
-                event, owner = id_, first
-            moved = owner is None if op == "I" else owner is not None and owner == parent
-            if moved:
-                owner = parent if op == "I" else None
-                kept.append(i)
-                after.append(owner)
-        rows = batch.select(["id", "seq"]).take(pa.array(kept, pa.int64()))
-        kind = batch.schema.field("__owner").type
-        yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(after, kind)], ["id", "seq", "owner"])
+def owner_moves(turns: DataFrame) -> DataFrame:
+    """``id, seq, owner``: the changes that move an event, and its owner after each.
+
+    An insert takes an event that nobody owns, a delete by its owner frees it;
+    all others change nothing. What an insert leads to is known without those
+    before it: the event is freed by the next delete of the same subject, and
+    the insert after that is the next one to take it. So every insert points
+    to another one, and those that count are the chain from the first. It is
+    followed by pointer jumping: in each round pointers are composed with
+    themselves, and what is reached so far reaches as much again. Rounds grow
+    with the logarithm of the longest chain, all steps are joins by event and
+    ``seq``, and an event with a third of the feed is spread like any other.
+    """
+    turns = turns.select("id", "seq", "op", "baby_id", "__owner", (-F.col("seq")).alias("__back"))
+    insert, delete = F.col("op") == "I", F.col("op") == "D"
+    # looking back from the end: the first insert at or after each row, and the first delete by the same subject
+    turns = Ordered(turns, "id", ["__back"]).with_latest("__take", F.when(insert, F.struct("seq", "baby_id"))).rows()
+    turns = turns.withColumn("__pair", F.concat_ws(":", "id", "baby_id"))
+    freed = F.when(delete, F.struct("seq", F.col("__take.seq").alias("take")))
+    turns = Ordered(turns, "__pair", ["__back"]).with_latest("__free", freed).rows()
+    turns = materialise(turns.drop("__pair", "__back"), "turns")
+
+    inserts = turns.where(insert).select("id", "seq", "baby_id", F.col("__free.seq").alias("freed"), F.col("__free.take").alias("next"))
+    starts = turns.groupBy("id").agg(
+        F.max("__owner").alias("__owner"), F.min(F.when(insert, F.col("seq"))).alias("first"),
+        F.min(F.when(delete & (F.col("baby_id") == F.col("__owner")), F.struct("seq", "__free"))).alias("release"),
+    )
+    first = F.when(F.col("__owner").isNull(), F.col("first")).otherwise(F.col("release.__free.take"))
+    reached = materialise(starts.select("id", first.alias("seq")).where("seq IS NOT NULL"), "reached")
+    jumps = materialise(inserts.where("next IS NOT NULL").select("id", "seq", "next"), "jumps")
+    while not jumps.isEmpty():
+        onward = reached.join(jumps, ["id", "seq"]).select("id", F.col("next").alias("seq"))
+        reached = materialise(reached.unionByName(onward), "reached")
+        then = jumps.select("id", F.col("seq").alias("next"), F.col("next").alias("then"))
+        jumps = materialise(jumps.join(then, ["id", "next"]).select("id", "seq", F.col("then").alias("next")), "jumps")
+
+    taken = inserts.join(reached, ["id", "seq"])
+    nobody = F.lit(None).cast(turns.schema["baby_id"].dataType)
+    return (
+        taken.select("id", "seq", F.col("baby_id").alias("owner"))
+        .unionByName(taken.where("freed IS NOT NULL").select("id", F.col("freed").alias("seq"), nobody.alias("owner")))
+        .unionByName(starts.where("release IS NOT NULL").select("id", F.col("release.seq").alias("seq"), nobody.alias("owner")))
+    )

@@ -62,11 +62,15 @@ PARTITIONS = {
     "dim_diaper_status": ["job_id"],
 }
 
+# Ranges of the batches a table of the star holds, see operators/batches.py.
+BATCHES = T.ArrayType(_struct(first=_I, last=_I))
+
 LEDGER = _struct(
     job_id=_I, dag_id=_S, task_id=_S, logical_date=_TS, pipeline_stage=_S, parent_job_id=_I,
     data_source_type=_S, data_source_path=_S, destination_schema=_S, destination_table_name=_S,
     started_at=_TS, ended_at=_TS, status=_S, error_message=_S, rows_affected_count=_L,
-    rows_inserted_count=_L, last_loaded_event_ts_watermark=_TS,
+    rows_inserted_count=_L, last_loaded_event_ts_watermark=_TS, rows_collided_count=_L,
+    loaded_batches=BATCHES,
 )
 
 LEDGER_STATUSES = ("running", "success", "failed", "skipped")
