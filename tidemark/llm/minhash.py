@@ -6,7 +6,7 @@ class from the start. A class has a signature of ``TREES * DEPTH`` minima and
 share the first ``LEVELS[0]`` are a region. For the early proposals only,
 regions of more than ``REGION`` classes are told apart by longer prefixes; the
 last round compares the regions of the first level whole, the large ones block
-by block. Two sets of similarity 0.8 share three minima in one of 16 trees but
+by block and on full sets, so what it passes on is links, not candidates. Two sets of similarity 0.8 share three minima in one of 16 trees but
 for a chance of 1e-5, however large the region is.
 """
 
@@ -32,6 +32,10 @@ REGION = 4096
 """Classes that share a prefix before the early proposals take a longer one."""
 BLOCK = 512
 """Classes of a block; a task holds two blocks of a region at a time."""
+WEIGHT = 2048
+"""Shingles that count as one class in a block, so that blocks of long texts hold fewer of them."""
+SHARED = 4096
+"""Shingles that are counted at once when the sets of two blocks are intersected."""
 SLACK = 0.1
 """How far below the limit an estimate may lie: four deviations of 256 minima at 0.8."""
 NEXT = 16
@@ -105,25 +109,29 @@ def _regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Both are ``g, set_key, tree, blocks, large`` of each class in each tree where it shares a region with others.
     """
-    rows = classes.select("set_key", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "sig")
-    rows = rows.select("set_key", "tree", F.expr(f"substring(sig, 1 + tree * {2 * DEPTH}, {2 * DEPTH})").alias("path"))
+    rows = classes.select("set_key", "n", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "sig")
+    rows = rows.select("set_key", "tree", _weight().alias("weight"), F.expr(f"substring(sig, 1 + tree * {2 * DEPTH}, {2 * DEPTH})").alias("path"))
     whole = early = None
     for level in LEVELS:
         keyed = rows.withColumn("g", F.xxhash64("tree", F.lit(level), F.expr(f"substring(path, 1, {2 * level})")))
-        sizes = keyed.groupBy("g").agg(F.count("*").alias("members")).where("members > 1")
+        sizes = keyed.groupBy("g").agg(F.count("*").alias("members"), F.sum("weight").alias("weights")).where("members > 1")
         keyed = materialise(keyed.join(sizes, "g"), f"level{level}")
         final = keyed if level == LEVELS[-1] else keyed.where(F.col("members") <= REGION)
-        blocks = F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")
-        columns = ["g", "set_key", "tree", blocks, (F.col("members") > min(REGION, BLOCK)).alias("large")]
+        blocks = F.ceil(F.col("weights") / BLOCK).cast("int").alias("blocks")
+        columns = ["g", "set_key", "tree", blocks, ((F.col("members") > REGION) | (F.col("weights") > BLOCK)).alias("large")]
         final = final.select(*columns)
         whole = keyed.select(*columns) if whole is None else whole
         early = final if early is None else early.union(final)
-        rows = keyed.where(F.col("members") > REGION).select("set_key", "tree", "path")
+        rows = keyed.where(F.col("members") > REGION).select("set_key", "tree", "weight", "path")
         if level == LEVELS[-1] or rows.isEmpty():
             break
     return whole, early
 
 
+def _weight() -> F.Column:
+    return F.ceil(F.col("n") / WEIGHT).cast("long")
+
+
 def _single(rows: DataFrame) -> DataFrame:
     """Each block of a large region a group of its own; each tree deals the classes anew."""
     rows = rows.withColumn("own", F.pmod(F.xxhash64("set_key", "tree"), F.col("blocks")).cast("int"))
@@ -138,11 +146,11 @@ def _tiles(rows: DataFrame) -> DataFrame:
     which need not meet each other.
     """
     large = rows.where("blocks > 1").drop("blocks", "large")
-    counts = large.groupBy("g", "root").agg(F.count("*").alias("n"))
-    main = counts.groupBy("g").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("members"))
+    counts = large.groupBy("g", "root").agg(F.sum(_weight()).alias("w"))
+    main = counts.groupBy("g").agg(F.max(F.struct("w", "root")).alias("main"), F.sum("w").alias("members"))
     main = main.select(
-        "g", F.col("main.root").alias("most"), F.ceil((F.col("members") - F.col("main.n")) / BLOCK).cast("int").alias("others"),
-        F.ceil(F.col("main.n") / BLOCK).cast("int").alias("mains"),
+        "g", F.col("main.root").alias("most"), F.ceil((F.col("members") - F.col("main.w")) / BLOCK).cast("int").alias("others"),
+        F.ceil(F.col("main.w") / BLOCK).cast("int").alias("mains"),
     )
     deal = F.xxhash64("set_key", "tree")
     inside = F.col("root") == F.col("most")
@@ -156,39 +164,42 @@ def _tiles(rows: DataFrame) -> DataFrame:
     return small.unionByName(tiled.drop("other", "most", "others", "mains"))
 
 
+def _estimates(
+    sig: np.ndarray, size: np.ndarray, root: np.ndarray, own: np.ndarray, least: float, ratio: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Estimated similarity of each two members of a group, and which of them may be linked.
+
+    Those have an estimate of at least ``least``, set sizes within ``ratio`` and
+    different roots; in a tile of two blocks only members of different blocks count.
+    """
+    est = np.zeros((len(sig), len(sig)), np.float32)
+    for i in range(len(sig)):
+        est[i] = (sig[i] == sig).mean(axis=1)
+    ok = (est >= least) & (root[:, None] != root[None, :])
+    ok &= np.minimum.outer(size, size) >= ratio * np.maximum.outer(size, size)
+    np.fill_diagonal(ok, False)
+    if (own != own[0]).any():
+        ok &= own[:, None] != own[None, :]
+    return est, ok
+
+
+def _columns(table: pa.Table) -> tuple[np.ndarray, ...]:
+    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u2").reshape(table.num_rows, -1)
+    return sig, *(table.column(x).to_numpy() for x in ("n", "root", "own", "tree"))
+
+
 def _candidates(members: DataFrame, least: float, ratio: float, turn: int) -> DataFrame:
-    """Candidate links ``a, b, est, hub`` within each group ``g``; members of one ``root`` are no candidates.
+    """Candidate links ``a, b, est, hub`` within each group ``g``, see ``_estimates``.
 
     At first from each member ``a`` to its most similar partner, and (``hub``)
     to the member that is most similar to all others. In the second turn from
     members outside the group's most frequent root to their ``NEXT`` most
-    similar partners. In the third every candidate once, in the first tree
-    where the two meet for certain. Candidates have an
-    estimate of at least ``least`` and set sizes within ``ratio``. In a tile
-    of two blocks only members of different blocks are compared. Ties go to
-    the member that comes first.
+    similar partners. Ties go to the member that comes first.
     """
 
-    def met_before(i: np.ndarray, j: np.ndarray, sig: np.ndarray, tree: np.ndarray) -> np.ndarray:
-        """Whether an earlier tree has the two in one region of the first level."""
-        heads = sig[:, : TREES * DEPTH].reshape(len(sig), TREES, DEPTH)[:, :, : LEVELS[0]]
-        earlier = np.arange(TREES) < tree[:, None]
-        out = np.zeros(len(i), bool)
-        for at in range(0, len(i), 50_000):
-            a, b = i[at : at + 50_000], j[at : at + 50_000]
-            out[at : at + 50_000] = ((heads[a] == heads[b]).all(axis=2) & earlier[a]).any(axis=1)
-        return out
-
-    def of_group(sig: np.ndarray, size: np.ndarray, root: np.ndarray, own: np.ndarray, *rest) -> tuple[np.ndarray, ...]:
+    def of_group(sig: np.ndarray, size: np.ndarray, root: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, ...]:
         n = len(sig)
-        est = np.zeros((n, n), np.float32)
-        for i in range(n):
-            est[i] = (sig[i] == sig).mean(axis=1)
-        ok = (est >= least) & (root[:, None] != root[None, :])
-        ok &= np.minimum.outer(size, size) >= ratio * np.maximum.outer(size, size)
-        np.fill_diagonal(ok, False)
-        if (own != own[0]).any():
-            ok &= own[:, None] != own[None, :]
+        est, ok = _estimates(sig, size, root, own, least, ratio)
         if turn == 1:
             names, at, counts = np.unique(root, return_inverse=True, return_counts=True)
             few = np.flatnonzero((at != counts.argmax()) & ok.any(axis=1))
@@ -196,11 +207,6 @@ def _candidates(members: DataFrame, least: float, ratio: float, turn: int) -> Da
             i, j = np.repeat(few, best.shape[1]), best.ravel()
             i, j = i[ok[i, j]], j[ok[i, j]]
             return i, j, est[i, j], np.zeros(len(i), bool)
-        if turn == 2:
-            i, j = np.nonzero(np.triu(ok))
-            fresh = ~met_before(i, j, sig, *rest)
-            i, j = i[fresh], j[fresh]
-            return i, j, est[i, j], np.zeros(len(i), bool)
         est[~ok] = 0
         best = est.argmax(axis=1)
         i = np.flatnonzero(est[np.arange(n), best])
@@ -219,12 +225,11 @@ def _candidates(members: DataFrame, least: float, ratio: float, turn: int) -> Da
         return i, j, est, np.zeros(len(i), bool)
 
     def work(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u2").reshape(table.num_rows, -1)
-        size, root, own, tree = (table.column(x).to_numpy() for x in ("n", "root", "own", "tree"))
+        sig, size, root, own, _ = _columns(table)
         counts = np.diff(starts)
         found = [of_twos(starts[:-1][counts == 2], sig, size, root)]
         for lo, hi in zip(starts[:-1][counts > 2], starts[1:][counts > 2], strict=True):
-            i, j, *rest = of_group(*(x[lo:hi] for x in (sig, size, root, own, tree)))
+            i, j, *rest = of_group(*(x[lo:hi] for x in (sig, size, root, own)))
             found.append((i + lo, j + lo, *rest))
         i, j, est, hub = (np.concatenate(x) for x in zip(*found, strict=True))
         a, b = (table.column("set_key").take(pa.array(x)).combine_chunks() for x in (i, j))
@@ -236,6 +241,78 @@ def _candidates(members: DataFrame, least: float, ratio: float, turn: int) -> Da
     return found if turn == 0 else found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _involved(members: DataFrame, least: float, ratio: float) -> DataFrame:
+    """``g, set_key, n, root``: the members that may be linked to another of their group, each candidate pair in one group.
+
+    That is the first tree whose region holds both. Rows grow with the members
+    of a tile, not with their pairs.
+    """
+
+    def met_before(i: np.ndarray, j: np.ndarray, sig: np.ndarray, tree: np.ndarray) -> np.ndarray:
+        """Whether an earlier tree has the two in one region of the first level."""
+        heads = sig[:, : TREES * DEPTH].reshape(len(sig), TREES, DEPTH)[:, :, : LEVELS[0]]
+        earlier = np.arange(TREES) < tree[:, None]
+        out = np.zeros(len(i), bool)
+        for at in range(0, len(i), 50_000):
+            a, b = i[at : at + 50_000], j[at : at + 50_000]
+            out[at : at + 50_000] = ((heads[a] == heads[b]).all(axis=2) & earlier[a]).any(axis=1)
+        return out
+
+    def work(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        sig, size, root, own, tree = _columns(table)
+        chosen = np.zeros(len(sig), bool)
+        for lo, hi in zip(starts[:-1], starts[1:], strict=True):
+            _, ok = _estimates(*(x[lo:hi] for x in (sig, size, root, own)), least, ratio)
+            i, j = np.nonzero(np.triu(ok))
+            fresh = ~met_before(i, j, sig[lo:hi], tree[lo:hi])
+            chosen[lo + i[fresh]] = chosen[lo + j[fresh]] = True
+        for batch in table.select(["g", "set_key", "n", "root"]).filter(pa.array(chosen)).to_batches():
+            yield batch
+
+    return by_group(members, "g", work, "g long, set_key binary, n long, root long")
+
+
+def _linked(members: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links ``a, b`` between members of each group ``g`` by their full sets, one for each two roots that have any.
+
+    The sets of a group are rows of a 0-1 matrix over the shingles that two or
+    more of them hold; products of slices of it add up to all intersections.
+    """
+
+    def of_group(sets: list[np.ndarray], root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = np.array([len(x) for x in sets])
+        owner = np.repeat(np.arange(len(sets)), size)
+        names, at, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        place = np.where(often > 1, np.cumsum(often > 1) - 1, -1)[at]
+        order = np.argsort(place, kind="stable")
+        place, owner = place[order], owner[order]
+        both = np.zeros((len(sets), len(sets)))
+        for first in range(0, int(place[-1]) + 1, SHARED):
+            lo, hi = np.searchsorted(place, [first, first + SHARED])
+            part = np.zeros((len(sets), SHARED), np.float32)
+            part[owner[lo:hi], place[lo:hi] - first] = 1
+            both += part @ part.T
+        joint = size[:, None] + size[None, :] - both
+        i, j = np.nonzero(np.triu((100 * both >= percent * joint) & (root[:, None] != root[None, :]), 1))
+        ends = np.stack([np.minimum(root[i], root[j]), np.maximum(root[i], root[j])], axis=1)
+        one = np.unique(ends, axis=0, return_index=True)[1]
+        return i[one], j[one]
+
+    def work(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        root, found = table.column("root").to_numpy(), []
+        for lo, hi in zip(starts[:-1], starts[1:], strict=True):
+            texts = table.column("text").slice(lo, hi - lo).to_pylist()
+            i, j = of_group([shingle_set(text, width) for text in texts], root[lo:hi])
+            found.append((i + lo, j + lo))
+        i, j = (np.concatenate(x) for x in zip(*found, strict=True))
+        keys = table.column("set_key")
+        ends = [keys.take(pa.array(x)).combine_chunks() for x in (i, j)]
+        yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
+
+    held = members.join(docs, "set_key").select("g", "set_key", "root", "text")
+    return by_group(held, "g", work, "a binary, b binary")
+
+
 def _strongest(found: DataFrame) -> DataFrame:
     """Of all trees, the best partner and the best hub of each class, as pairs ``a < b``."""
     best = found.groupBy("a", "hub").agg(F.max(F.struct("est", "b")).alias("best")).select("a", F.col("best.b"))
@@ -278,8 +355,10 @@ def near_duplicates(
     Candidates are found in three rounds. At first each class proposes its most
     similar partner in each region, and the hub of a region; what is confirmed
     joins components. Later rounds look only at pairs across components: some
-    for members outside the main one, and in the last round all of those, so no
-    link between components is missed for having been left out before. In the
+    for members outside the main one, and in the last round all of those, on
+    full sets and within the task that holds their blocks, so no
+    link between components is missed for having been left out before and no
+    pair that isn't linked leaves a task. In the
     first two rounds the blocks of a large region count as regions, so a class
     proposes as much there as in a small one; the last compares all blocks of
     all regions that share ``LEVELS[0]`` minima, whatever their size.
@@ -344,17 +423,21 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, width: int, percent: i
     wanted = reps.select("set_key", "text_key").join(nodes, "set_key", "left_semi")
     whole = materialise(base.join(wanted, "text_key").select("set_key", "text").distinct(), "texts")
     confirmed = materialise(_confirmed(proposed, whole, width, percent), "links")
-    tried, roots = proposed, components(confirmed)
-    for turn in (1, 2):
+    roots = components(confirmed)
+
+    def state() -> DataFrame:
         known = roots.select(F.col("node").alias("set_key"), F.xxhash64("root").alias("known"))
-        state = facts.join(known, "set_key", "left").withColumn("root", F.coalesce("known", "root")).drop("known")
-        apart = _single(early).join(state, "set_key") if turn == 1 else _tiles(regions.join(state, "set_key"))
-        found = materialise(_candidates(apart, low, ratio, turn).join(tried, ["a", "b"], "left_anti"), "proposed")
-        if found.isEmpty():
-            continue
-        tried = tried.union(found)
+        return facts.join(known, "set_key", "left").withColumn("root", F.coalesce("known", "root")).drop("known")
+
+    near = _candidates(_single(early).join(state(), "set_key"), low, ratio, 1)
+    found = materialise(near.join(proposed, ["a", "b"], "left_anti"), "proposed")
+    if not found.isEmpty():
         confirmed = confirmed.union(materialise(_confirmed(found, whole, width, percent), "links"))
         roots = components(confirmed)
+    involved = materialise(_involved(_tiles(regions.join(state(), "set_key")), low, ratio), "involved")
+    if not involved.isEmpty():
+        confirmed = confirmed.union(materialise(_linked(involved, whole, width, percent), "links"))
+        roots = components(confirmed)
     named = reps.select("set_key", "first").join(roots.withColumnRenamed("node", "set_key"), "set_key", "left")
     named = materialise(named.withColumn("root", F.coalesce("root", "set_key")), "named")
     firsts = named.groupBy("root").agg(F.min("first").alias("first"))
