@@ -35,5 +35,5 @@ def table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{name}.parquet")
 
 
-for _module in ("cleansing", "storage", "quality", "dedup", "dimensions", "facts", "ledger", "operational", "jobs"):
+for _module in ("cleansing", "storage", "quality", "dedup", "dimensions", "facts", "ledger", "operational", "jobs", "layout"):
     import_module(f"tidemark.catalog.{_module}")

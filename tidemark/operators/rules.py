@@ -5,8 +5,9 @@ from __future__ import annotations
 import zoneinfo
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import cache
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.coerce import clean_status, clean_text
 from tidemark.operators.lookup import lookup_join
@@ -28,9 +29,16 @@ def name_length(col: str) -> Rule:
     return Rule("name_length", F.length(clean_text(F.col(col))).between(*NAME_LENGTH))
 
 
+@cache
+def zone_names() -> list[str]:
+    """The names of the tz database that the JVM, which converts, knows (about 600)."""
+    zones = SparkSession.active()._jvm.java.time.ZoneId
+    known = {*zones.getAvailableZoneIds(), *zones.SHORT_IDS.keySet()}
+    return sorted(known & zoneinfo.available_timezones())
+
+
 def known_zone(col: str) -> Rule:
-    """The zone list is a constant of the tz database (about 600 names)."""
-    return Rule("known_zone", F.col(col).isin(sorted(zoneinfo.available_timezones())))
+    return Rule("known_zone", F.col(col).isin(zone_names()))
 
 
 def valid_status(col: str, allowed: Sequence[str] = STATUSES) -> Rule:

@@ -148,5 +148,16 @@ def lookup(requests: DataFrame, df: DataFrame, key: str) -> DataFrame:
     return requests.join(df, key, "left")
 
 
+def lookup_few(requests: DataFrame, df: DataFrame, key: str, most: int = 1000) -> DataFrame:
+    """``lookup`` that reads only what the requested ids may be in, where they are at most ``most``.
+
+    Their ids become a list of literals, which reaches the scan: files and row
+    groups whose range or bloom filter excludes all of them are skipped (see
+    ``write_clustered``). More requests are a plain join.
+    """
+    listed = [r[0] for r in requests.select(key).where(F.col(key).isNotNull()).distinct().limit(most + 1).collect()]
+    return lookup(requests, df.where(F.col(key).isin(listed)) if len(listed) <= most else df, key)
+
+
 def listing(df: DataFrame, order: str = "id") -> DataFrame:
     return df.orderBy(order)
