@@ -167,3 +167,34 @@ def test_zones_that_pass_the_rule_can_be_converted(spark):
     at = F.lit("2024-05-01 10:00:00").cast("timestamp_ntz")
     assert passed.select(F.to_utc_timestamp(at, F.col("zone")).alias("t")).where("t IS NULL").count() == 0
     assert spark.range(1).select(wall_clock_to_utc(at, "Asia/Tokyo").alias("t")).first().t is not None
+
+
+def test_only_touched_buckets_are_written(spark, tmp_path):
+    from tidemark.sinks.tables import Tables
+
+    failed: set[int] = set()
+    tables = Tables(spark, str(tmp_path / "t"), lambda: failed, {"dim": ("k", 64)})
+    rows = spark.range(3000).select(F.col("id").alias("k"), F.lit("old").alias("v"))
+    tables.replace("dim", rows, run=1)
+    before = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+
+    def change(run, keys):
+        some = rows.where(F.col("k").isin(keys)).withColumn("v", F.lit(f"run {run}"))
+        touched = [r[0] for r in some.select(tables.bucket("dim")).distinct().collect()]
+        rest = tables.read("dim", rows.schema, touched).join(some.select("k"), "k", "left_anti")
+        return len(touched), tables.replace_buckets("dim", rest.unionByName(some), run, {"n": F.count_if(F.col("v") == f"run {run}")})
+
+    n, seen = change(2, [5, 6, 7])
+    assert seen["n"] == 3 and seen["rows"] < 3000 / 64 * 3 * 2
+    after = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+    assert all(after[p] == t for p, t in before.items())  # no file was touched, n buckets have a second copy
+    assert len({p.parent for p in after if p not in before}) == n <= 3
+    assert tables.read("dim", rows.schema).where("v = 'run 2'").count() == 3 and tables.read("dim", rows.schema).count() == 3000
+
+    failed.add(3)  # this run doesn't end well: its copies don't count, and are removed
+    change(3, [5, 900])
+    assert {r.v for r in tables.read("dim", rows.schema).collect()} == {"old", "run 2"}
+    tables.discard("dim", 3)
+    assert not list(tmp_path.rglob("run=3"))
+    failed.clear()
+    assert tables.read("dim", rows.schema).where("v = 'run 2'").count() == 3

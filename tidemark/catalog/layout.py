@@ -8,6 +8,7 @@ from tidemark.catalog import query, table
 from tidemark.operators.digests import Layout, changes_since, write_snapshot
 from tidemark.session import workspace
 from tidemark.sinks.clustered import write_clustered
+from tidemark.sinks.tables import Tables
 from tidemark.sources.readers import keyed_children as children_of_one, lookup_few
 from tidemark.sources.records import read_quoted_csv
 
@@ -35,6 +36,23 @@ def snapshot_changes(spark: SparkSession, path: str) -> DataFrame:
     return changes_since(new, store, layout).drop("o_orderdate")
 
 
+@query("""
+SELECT c_custkey, CASE WHEN c_custkey % 100 = 0 THEN 'moved' ELSE c_name END AS c_name FROM customer
+UNION ALL SELECT c_custkey + 1000000000, 'new' FROM customer WHERE c_custkey % 100 = 1""")
+def bucket_merge(spark: SparkSession, path: str) -> DataFrame:
+    """One percent of the customers changed and as many came: only the buckets they lie in are read and written."""
+    customers = table(spark, path, "customer").select("c_custkey", "c_name")
+    tables = Tables(spark, workspace(spark, "buckets"), bucketed={"dim": ("c_custkey", 64)})
+    tables.replace("dim", customers, run=1)
+    moved = customers.where("c_custkey % 100 = 0").withColumn("c_name", F.lit("moved"))
+    came = customers.where("c_custkey % 100 = 1").select((F.col("c_custkey") + 1_000_000_000).alias("c_custkey"), F.lit("new").alias("c_name"))
+    changes = moved.unionByName(came)
+    touched = [r[0] for r in changes.select(tables.bucket("dim")).distinct().collect()]
+    present = tables.read("dim", customers.schema, touched).join(changes.select("c_custkey"), "c_custkey", "left_anti")
+    tables.replace_buckets("dim", present.unionByName(changes), run=2)
+    return tables.read("dim", customers.schema)
+
+
 def orders_by_customer(spark: SparkSession, path: str) -> DataFrame:
     """The orders, written in ranges of their customer."""
     target = workspace(spark, "clustered")

@@ -194,16 +194,19 @@ def load_subject_versions(
             existing=dimension,
         )
         now = instant(wh.run_ts)
-        kept = scd2.expire_current(dimension, scd2.expiry(changes, by), by.nk, now)
+        bucket = wh.tables.bucket("dim_baby")
+        touched = [r[0] for r in changes.select(bucket).distinct().collect()]  # no more than there are buckets
+        affected = wh.tables.read("dim_baby", buckets=touched)
+        kept = scd2.expire_current(affected, scd2.expiry(changes, by), by.nk, now)
         is_new = F.col("job_id") == job_id
-        seen = wh.tables.replace(
+        seen = wh.tables.replace_buckets(
             "dim_baby",
             kept.unionByName(_subject_rows(opened, wh, job_id)),
+            job_id,
             measures={
                 "new": F.count_if(is_new),
                 "closed": F.count_if(~is_new & (F.col("updated_at") == now)),
             },
-            run=job_id,
         )
         return Outcome("success", job_id, seen["new"] + seen["closed"], seen["new"])
 

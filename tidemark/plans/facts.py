@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.keys import date_key, instant, month_key, time_key
 from tidemark.operators.dedup import latest_load_first
@@ -99,19 +98,13 @@ def fact_rows(events: DataFrame, fact: Fact, wh: Warehouse, job_id: int) -> Data
     )
 
 
-def _one_per_key(
-    known: DataFrame, present: DataFrame | None, fact: Fact, wh: Warehouse, job_id: int
-) -> tuple[DataFrame, Callable[[int], Outcome]]:
-    """Rows to write, and the outcome by how many were: the others lost their key to one of them or to the table."""
-    seen = Observation()
-    counted = known.observe(seen, F.count(F.lit(1)).alias("events"))
-    rows = fact_rows(absent_rows(counted, present, fact.key, survivors_first(known, "baby_id", fact.ts)), fact, wh, job_id)
+def _loaded(events: DataFrame, written: int, job_id: int) -> Outcome:
+    """Outcome of a load: events that were not written lost their key to one that was, or to the table.
 
-    def outcome(written: int) -> Outcome:
-        events = seen.get["events"]
-        return Outcome("success", job_id, written, written, collided=events - written)
-
-    return rows, outcome
+    Every event is one row up to there, so they are counted where they are
+    staged, by the two columns that make them complete.
+    """
+    return Outcome("success", job_id, written, written, collided=events.count() - written)
 
 
 def load_fact(wh: Warehouse, dag: str, when: datetime, fact: Fact) -> Outcome:
@@ -121,8 +114,9 @@ def load_fact(wh: Warehouse, dag: str, when: datetime, fact: Fact) -> Outcome:
         wh.ledger.take(job_id, fact.staging, fact.table)
         events = keyed_events(wh.tables.read(fact.staging), fact)
         known = with_current_subject(events, wh.tables.read("dim_baby"), fact.ts)
-        rows, outcome = _one_per_key(known, None, fact, wh, job_id)
-        return outcome(wh.tables.replace(fact.table, rows, run=job_id)["rows"])
+        order = survivors_first(known, "baby_id", fact.ts)
+        rows = fact_rows(absent_rows(known, None, fact.key, order), fact, wh, job_id)
+        return _loaded(events, wh.tables.replace(fact.table, rows, run=job_id)["rows"], job_id)
 
     spec = load_spec(fact.task, f"staging.{fact.staging}", fact.table, "initial")
     return wh.run(spec, dag, when, work)
@@ -140,8 +134,9 @@ def load_new_facts(wh: Warehouse, dag: str, when: datetime, fact: Fact) -> Outco
         events = keyed_events(staged, fact)
         known = with_subject_at(events, wh.tables.read("dim_baby"), fact.ts)
         present = in_months_of(wh.tables.read(fact.table), events, fact)
-        rows, outcome = _one_per_key(known, present, fact, wh, job_id)
-        return outcome(wh.tables.append(fact.table, rows)["rows"])
+        order = survivors_first(known, "baby_id", fact.ts)
+        rows = fact_rows(absent_rows(known, present, fact.key, order), fact, wh, job_id)
+        return _loaded(events, wh.tables.append(fact.table, rows)["rows"], job_id)
 
     spec = load_spec(fact.task, f"staging.{fact.staging}", fact.table, "incremental")
     return wh.run(spec, dag, when, work)

@@ -62,6 +62,9 @@ PARTITIONS = {
     "dim_diaper_status": ["job_id"],
 }
 
+# Tables kept in buckets by the hash of a column, so that a change rewrites the buckets it touches.
+BUCKETS = {"dim_baby": ("baby_nk", 64)}
+
 # Ranges of the batches a table of the star holds, see operators/batches.py.
 BATCHES = T.ArrayType(_struct(first=_I, last=_I))
 

@@ -5,7 +5,11 @@ its ``_READY`` marker exists, so a full replace is one atomic step for readers,
 and a plan may read the old version while the new one is written. A version
 written for a run names it in ``_RUN=<id>``.
 
-Versions and batches of runs that ``unfinished`` lists are passed over, so what
+A bucketed table keeps its rows in ``bucket=<n>/run=<id>/`` of its version: a
+run that changes some buckets writes these anew, and of each bucket the copy of
+the newest run counts.
+
+Versions, batches and copies of runs that ``unfinished`` lists are passed over, so what
 a run writes shows with its success.
 """
 
@@ -13,9 +17,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Collection, Sequence
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from tidemark.schemas import CORE, PARTITIONS, REJECT, STAGING
+from tidemark.schemas import BUCKETS, CORE, PARTITIONS, REJECT, STAGING
 
 READY = "_READY"
 RUN = "_RUN="
@@ -23,12 +30,16 @@ _REJECTED = T.StructField("rejected", T.BooleanType())
 
 
 class Tables:
+    """``bucketed`` names the column and the number of buckets of tables that are kept in buckets."""
+
     def __init__(
-        self, spark: SparkSession, root: str, unfinished: Callable[[], Collection[int]] = tuple
+        self, spark: SparkSession, root: str, unfinished: Callable[[], Collection[int]] = tuple,
+        bucketed: dict[str, tuple[str, int]] = BUCKETS,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.unfinished = unfinished
+        self.bucketed = bucketed
 
     # -- versions -----------------------------------------------------------
 
@@ -87,7 +98,7 @@ class Tables:
             if self._run_of(name, version) == run:
                 fs.delete(target, True)
                 continue
-            for pattern in (f"job_id={run}", f"*/job_id={run}"):
+            for pattern in (f"job_id={run}", f"*/job_id={run}", f"bucket=*/run={run}"):
                 _, batch = self._fs(f"{path}/{pattern}")
                 for status in fs.globStatus(batch) or ():
                     fs.delete(status.getPath(), True)
@@ -103,11 +114,14 @@ class Tables:
 
     # -- reading ------------------------------------------------------------
 
-    def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
+    def read(self, name: str, schema: T.StructType | None = None, buckets: Collection[int] | None = None) -> DataFrame:
+        """The rows that count; ``buckets`` limits a bucketed table to these, others aren't opened."""
         schema = schema or STAGING.get(name) or CORE[name]
         path = self.path(name)
         if path is None:
             return self.spark.createDataFrame([], schema)
+        if name in self.bucketed:
+            return self._newest_copies(path, schema, buckets)
         fields = [*schema.fields, _REJECTED] if name in STAGING else schema.fields
         rows = self.spark.read.schema(T.StructType(fields)).parquet(path)
         hidden = sorted(self.unfinished()) if "job_id" in schema.fieldNames() else []
@@ -115,6 +129,26 @@ class Tables:
             rows = rows.where(F.col("job_id").isNull() | ~F.col("job_id").isin(hidden))
         return rows.where("NOT rejected").drop("rejected") if name in STAGING else rows
 
+    def bucket(self, name: str) -> Column:
+        column, buckets = self.bucketed[name]
+        return F.pmod(F.xxhash64(column), F.lit(buckets)).cast("int")
+
+    def _newest_copies(self, path: str, schema: T.StructType, buckets: Collection[int] | None) -> DataFrame:
+        """The rows of a bucketed table: a filter on directories, by run and bucket."""
+        fs, copies = self._fs(f"{path}/bucket=*/run=*")
+        hidden, newest = set(self.unfinished()), {}
+        for status in fs.globStatus(copies) or ():
+            bucket, run = (int(p.rsplit("=", 1)[1]) for p in (status.getPath().getParent().getName(), status.getPath().getName()))
+            if run not in hidden and (buckets is None or bucket in buckets):
+                newest[bucket] = max(run, newest.get(bucket, run))
+        by_run: dict[int, list[int]] = {}
+        for bucket, run in newest.items():
+            by_run.setdefault(run, []).append(bucket)
+        fields = [*schema.fields, T.StructField("bucket", T.IntegerType()), T.StructField("run", T.IntegerType())]
+        rows = self.spark.read.schema(T.StructType(fields)).parquet(path)
+        chosen = [(F.col("run") == run) & F.col("bucket").isin(here) for run, here in by_run.items()]
+        return rows.where(reduce(or_, chosen, F.lit(False))).drop("bucket", "run")
+
     def rejected(self, name: str, job_id: int) -> DataFrame:
         """Rows of a batch that staging turned away: ``error_message`` and ``raw``."""
         fields = [*REJECT.fields, T.StructField("job_id", T.IntegerType()), _REJECTED]
@@ -134,6 +168,9 @@ class Tables:
         """Writes and publishes a new version, of a ``run`` if given; returns what ``append`` returns."""
         parts = PARTITIONS.get(name, []) if partition_by is None else list(partition_by)
         version = (self._versions(name, ready=False) or [0])[-1] + 1
+        if name in self.bucketed:
+            parts = ["bucket", "run"]
+            df = df.withColumns({"bucket": self.bucket(name), "run": F.lit(run or 0)})
         counted, counts = _counted(_spread(df, parts), measures)
         writer = counted.write.mode("overwrite")
         if parts:
@@ -142,6 +179,23 @@ class Tables:
         self._publish(name, version, run)
         return counts()
 
+    def replace_buckets(
+        self, name: str, df: DataFrame, run: int, measures: dict[str, Column] | None = None
+    ) -> dict[str, object]:
+        """Writes new copies of the buckets that ``df`` holds whole; files of all others stay as they are.
+
+        Returns what ``append`` returns. The copies of a run count with its success.
+        """
+        df = df.withColumns({"bucket": self.bucket(name), "run": F.lit(run)})
+        counted, counts = _counted(_spread(df, ["bucket"]), measures)
+        (
+            counted.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("bucket", "run")
+            .parquet(self._path(name, self._current(name)))
+        )
+        return counts()
+
     def append(
         self,
         name: str,
