@@ -365,3 +365,21 @@ def test_pipeline(spark):
     assert not [i for i in out if truth.get(i) == 0][3:] and len(out) <= docs.count()
     kept = corpus_pipeline.near_duplicates(spark, docs, PATH)
     assert kept.columns == docs.columns and kept.count() < docs.count()
+
+
+def test_top_k_of_very_large_components(spark):
+    """Components whose products leave 64 bits: ranked exactly up to 2**61, equal beyond."""
+    prepare(spark)
+    vectors = [
+        [1e18, 1.0], [1e30, -1e30], [-1e18, 2.0], [1e6, 1e6], [3e6, -1e6], [1e15, 0.5], [1e308, 1e308], [0.0, 0.0], [1e6, 999999.0],
+        [-1e308, 1e3], [2e4, 2e4], [1.5e5, -7.0],
+    ]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    edge, most = 1 << 62, 1 << 61
+    whole = [[min(max(math.floor(max(min(1024.0 * x, float(edge)), -float(edge))), -edge), edge) for x in v] for v in vectors]
+    expected = set()
+    for q in range(0, 12, 2):
+        scores = [(-min(max(sum(a * b for a, b in zip(whole[q], v, strict=True)), -most), most), i) for i, v in enumerate(whole) if i != q]
+        expected |= {(q, rank + 1, i, -s) for rank, (s, i) in enumerate(sorted(scores)[:4])}
+    got = topk.exact_top_k(rows, "id % 2 = 0", k=4)
+    assert {tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()} == expected

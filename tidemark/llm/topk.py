@@ -10,18 +10,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialise
+from tidemark.session import workspace
 
 QUERY_BLOCK = 2048
 """Queries whose vectors go to every task at once; more queries are taken block after block."""
 BUCKETS = 256
 ROWS = 4096
 """Candidates scored at once."""
+MOST = 1 << 61
+"""Scores beyond this, on either side of zero, count as this. So do components beyond twice as much."""
 
 
 def whole_vectors(rows: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
     """``id, vec`` with components ``floor(scale * x)``; rows with a null id or a gap in the vector are left out."""
-    x = F.col(vec_col)
-    big = F.transform(x, lambda v: F.floor(v.cast("double") * F.lit(float(scale))))
+    x, edge = F.col(vec_col), F.lit(float(2 * MOST))
+    big = F.transform(x, lambda v: F.floor(F.greatest(F.least(v.cast("double") * F.lit(float(scale)), edge), -edge)))
     fine = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
     return rows.where(F.col(id_col).isNotNull() & x.isNotNull() & fine).select(F.col(id_col).alias("id"), big.alias("vec"))
 
@@ -40,11 +43,14 @@ def _matrix(column: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
 
 
 def _dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer products: in doubles where no sum reaches 2**53, else in 64-bit integers."""
+    """Exact integer products: in doubles where no sum reaches 2**53, else in 64-bit integers, and in
+    whole numbers of any size, cut to ``MOST`` at the end, where these could overflow."""
     bound = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1])
     if bound < 2.0**53:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
+    if bound < float(MOST):
+        return a @ b.T
+    return np.clip(a.astype(object) @ b.astype(object).T, -MOST, MOST).astype(np.int64)
 
 
 def _scored(rows: DataFrame, queries: list[tuple[int, list[int]]], schema: str, work) -> DataFrame:
@@ -172,6 +178,7 @@ def exact_top_k(
     bound narrows the place of each k-th value by a factor of 256, and when it
     is exact one more pass keeps what reaches it. Ties go to the smaller id.
 
+    Scores are exact up to ``MOST``, beyond which they count as that.
     Vectors that are null or hold null or non-finite components, and rows with
     a null id, take no part; vectors of another length than the query's are no
     candidates of it; empty vectors score 0. Repeated rows are candidates
@@ -187,16 +194,17 @@ def exact_top_k(
     asked = asked.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")).withColumn("nth", nth)
     asked = materialise(asked, "queries")
     top = vectors.select(F.max(F.array_max(F.transform("vec", F.abs))).alias("x"), F.max(F.size("vec")).alias("n")).first()
-    reach = int(top["x"] or 0) ** 2 * int(top["n"] or 0) + 1
-    out = None
+    reach = min(MOST, int(top["x"] or 0) ** 2 * int(top["n"] or 0) + 1)
+    # a table of one directory a block, so that the plan doesn't grow with the blocks
+    store, blocks = workspace(spark, "blocks"), 0
     for part in sorted(r["part"] for r in asked.select("part").distinct().collect()):
         queries = [(r["id"], list(r["vec"])) for r in asked.where(F.col("part") == part).orderBy("id").collect()]
         for at in range(0, len(queries), QUERY_BLOCK):
             block = queries[at : at + QUERY_BLOCK]
-            kept = _keep(vectors, block, _refine(vectors, block, k, reach), k)
-            out = kept if out is None else out.union(kept)
-    if out is None:
-        out = spark.createDataFrame([], "query_id long, vec_id long, score long")
+            _keep(vectors, block, _refine(vectors, block, k, reach), k).write.parquet(f"{store}/block={blocks}")
+            blocks += 1
+    schema = "query_id long, vec_id long, score long"
+    out = spark.read.schema(schema).parquet(store) if blocks else spark.createDataFrame([], schema)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     ranked = out.withColumn("rank", rank).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
