@@ -383,3 +383,16 @@ def test_top_k_of_very_large_components(spark):
         expected |= {(q, rank + 1, i, -s) for rank, (s, i) in enumerate(sorted(scores)[:4])}
     got = topk.exact_top_k(rows, "id % 2 = 0", k=4)
     assert {tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()} == expected
+
+
+def test_tokens_with_a_sign_are_found_in_one_pass():
+    import random
+    import time
+
+    draw = random.Random(8)
+    for _ in range(3000):
+        text = "".join(draw.choice("ab1@ \n\u00a0é") for _ in range(draw.randint(0, 30)))
+        assert [m.span() for m in pii._TOKEN.finditer(text)] == [m.span() for m in re.finditer(r"\S*[0-9@]\S*", text)]
+    start = time.perf_counter()
+    assert len(list(pii._TOKEN.finditer("x" * 200_000 + " 1"))) == 1
+    assert time.perf_counter() - start < 2

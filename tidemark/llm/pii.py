@@ -30,7 +30,7 @@ _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SIGN = re.compile(r"[0-9@]")
-_TOKEN = re.compile(r"\S*[0-9@]\S*")
+_TOKEN = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+")  # begins where a word does, so a long word is read once
 
 Span = tuple[int, int]
 
