@@ -15,7 +15,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.keys import as_utc, instant
-from tidemark.operators.batches import ranges_after, with_loaded
+from tidemark.operators.batches import with_loaded
 from tidemark.operators.lineage import extract_runs, has_run, last_success, latest_state, loaded_ranges, succeeded
 from tidemark.operators.skew import HotKeys
 from tidemark.schemas import LEDGER, LEDGER_STATUSES
@@ -163,10 +163,17 @@ class Ledger:
         marked = with_loaded(extracts, loaded_ranges(runs.where(F.col("job_id") != job_id), core), "table", none_hot)
         rows = marked.collect()
         fresh = [r["job_id"] for r in rows if r["status"] == "success" and not r["loaded"]]
-        known = self.spark.createDataFrame(rows, marked.schema).coalesce(1)
-        self._taken[job_id] = [
-            {"first": r["first"], "last": r["last"]} for r in ranges_after(known, "table", none_hot).orderBy("first").collect()
-        ]
+        # the set as in ``ranges_after``; these are the runs of one table, already here
+        ranges: list[dict[str, int]] = []
+        joined = False
+        for r in sorted(rows, key=lambda r: r["job_id"]):
+            if r["loaded"] or r["status"] == "success":
+                if not joined:
+                    ranges.append({"first": r["job_id"]})
+                ranges[-1]["last"], joined = r["job_id"], True
+            elif r["status"] == "running":
+                joined = False
+        self._taken[job_id] = ranges
         return fresh
 
     def finish(
