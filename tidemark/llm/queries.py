@@ -36,12 +36,12 @@ def op1_license_scan(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-@query()
+@query(sql.TOP_K)
 def op2_histogram_top_k(spark: SparkSession, path: str) -> DataFrame:
     return topk.exact_top_k(read(spark, path, "embeddings"), "id % 100 = 0", k=10, scale=1024)
 
 
-@query()
+@query(sql.NEAR_VECTORS)
 def op3_pivot_permutation(spark: SparkSession, path: str) -> DataFrame:
     return vectors.near_vectors(read(spark, path, "embeddings"), least=0.95)
 
@@ -57,7 +57,7 @@ def op4_byte_bpe(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-@query()
+@query(sql.NEAR_DUPLICATES)
 def op5_minhash_forest(spark: SparkSession, path: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, path, "documents"), width=4, percent=80)
 

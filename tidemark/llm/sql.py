@@ -143,3 +143,55 @@ SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS
        coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(cost AS BIGINT) AS cost, audit,
        sha256(array_to_string(rows, chr(10))) AS repaired_sha256
 FROM best WHERE place = 1"""
+
+
+_FINE = "{0} IS NOT NULL AND len(list_filter({0}, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+TOP_K = f"""
+WITH vecs AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS vec
+  FROM embeddings WHERE vec_id IS NOT NULL AND {_FINE.format("embedding")}),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.vec, c.vec) AS BIGINT) AS score
+  FROM vecs q JOIN vecs c ON q.vec_id <> c.vec_id AND len(q.vec) = len(c.vec) WHERE q.vec_id % 100 = 0),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM scored)
+SELECT * FROM ranked WHERE rank <= 10"""
+
+# links(a, b) in both directions; every id of nodes(id) gets the smallest id that links reach
+_REACHED = """
+reached(id, other) AS (
+  SELECT id, id FROM nodes UNION SELECT r.id, l.b FROM reached r JOIN links l ON l.a = r.other),
+named AS (SELECT id, min(other) AS component_id FROM reached GROUP BY id)"""
+
+NEAR_VECTORS = f"""
+WITH RECURSIVE vecs AS (
+  SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS vec
+  FROM embeddings WHERE {_FINE.format("embedding")} AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+nodes AS (SELECT vec_id AS id FROM embeddings),
+links AS (
+  SELECT p.id AS a, q.id AS b FROM vecs p JOIN vecs q ON p.id <> q.id AND len(p.vec) = len(q.vec)
+  WHERE list_cosine_similarity(p.vec, q.vec) >= 0.95),
+{_REACHED}
+SELECT id AS vec_id, (SELECT count(*) FROM links WHERE a = id) AS n_links, component_id, id = component_id AS kept
+FROM named"""
+
+NEAR_DUPLICATES = f"""
+WITH RECURSIVE given AS (
+  SELECT doc_id AS id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents),
+sets AS (
+  SELECT id, list_distinct(list_transform(
+    range(CASE WHEN len(words) = 0 THEN 0 ELSE greatest(1, len(words) - 3) END),
+    lambda i: array_to_string(words[i + 1 : i + 4], ' '))) AS shingles FROM given),
+nodes AS (SELECT id FROM sets),
+placed AS (SELECT id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+common AS (
+  SELECT p.id AS a, q.id AS b, count(*) AS joint, p.n + q.n AS n
+  FROM placed p JOIN placed q ON p.shingle = q.shingle AND p.id <> q.id GROUP BY p.id, q.id, p.n, q.n),
+links AS (SELECT a, b FROM common WHERE 100 * joint >= 80 * (n - joint)),
+{_REACHED}
+SELECT id AS doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, component_id, id = component_id AS kept
+FROM sets JOIN named USING (id)"""
