@@ -11,7 +11,8 @@ from tidemark.catalog.cleansing import AMOUNT_CTE, AMOUNT_COLUMNS
 from tidemark.plans import mappings as m
 from tidemark.plans.operational import Applied, feed_events
 from tidemark.plans.staging import Warehouse, extract_spec, stage_rows
-from tidemark.session import workspace
+from tidemark.session import materialise, workspace
+from tidemark.streaming.change_feed import KeyedTable, follow
 
 NOW = datetime(2024, 1, 20)
 
@@ -36,7 +37,8 @@ judged AS (
   FROM feed)"""
 
 
-def _feed(spark: SparkSession, path: str) -> Applied:
+def _inputs(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Events before the feed, subjects and the feed."""
     orders = table(spark, path, "orders")
     durations = orders.select(
         F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("timestamp").alias("sleep_start"),
@@ -56,16 +58,23 @@ def _feed(spark: SparkSession, path: str) -> Applied:
         (F.floor("value") - 20).alias("sleep_duration"),
     )
     subjects = table(spark, path, "customer").select(F.col("c_custkey").alias("id"))
-    return feed_events(durations, subjects, changes, "sleep_start", "sleep_duration", NOW)
+    return durations, subjects, changes
+
+
+def _feed(spark: SparkSession, path: str) -> Applied:
+    return feed_events(*_inputs(spark, path), "sleep_start", "sleep_duration", NOW)
 
 
-@query(f"""
+_AFTER_FEED = f"""
 WITH {_FEED}, good AS (SELECT * FROM judged WHERE error_message IS NULL)
 SELECT o_orderkey AS id, coalesce(g.sleep_start, o_orderdate) AS sleep_start,
        CAST(coalesce(g.sleep_duration, o_orderkey % 600 + 1) AS BIGINT) AS sleep_duration, o_custkey AS baby_id
 FROM orders LEFT JOIN good g ON g.id = o_orderkey WHERE g.op IS DISTINCT FROM 'D'
 UNION ALL
-SELECT id, sleep_start, CAST(sleep_duration AS BIGINT), baby_id FROM good WHERE op = 'I'""")
+SELECT id, sleep_start, CAST(sleep_duration AS BIGINT), baby_id FROM good WHERE op = 'I'"""
+
+
+@query(_AFTER_FEED)
 def event_feed(spark: SparkSession, path: str) -> DataFrame:
     """The events after a feed whose changes passed the rules."""
     return _feed(spark, path).table.withColumn("sleep_start", F.col("sleep_start").cast("timestamp_ntz"))
@@ -77,6 +86,38 @@ def event_feed_rejected(spark: SparkSession, path: str) -> DataFrame:
     return _feed(spark, path).rejected.select("seq", "op", "error_message")
 
 
+def _streamed(spark: SparkSession, path: str) -> KeyedTable:
+    """The table after the feed has landed in three parts, with a new stream for each of them."""
+    events, subjects, changes = _inputs(spark, path)
+    root = workspace(spark, "feed")
+    target = KeyedTable(Warehouse(spark, f"{root}/warehouse", NOW), "sleep_data", events.schema)
+    target.create(events)
+    changes = materialise(changes, "changes")
+    first, second = changes.agg(F.percentile_approx("seq", [0.33, 0.66])).first()[0]
+    part = F.when(F.col("seq") <= first, 0).when(F.col("seq") <= second, 1).otherwise(2)
+    for n in range(3):
+        changes.where(part == n).write.mode("append").parquet(f"{root}/landed")
+        landed = spark.readStream.schema(changes.schema).parquet(f"{root}/landed")
+        follow(
+            target, landed, lambda rows, new: feed_events(rows, subjects, new, "sleep_start", "sleep_duration", NOW),
+            f"{root}/checkpoint",
+        )
+    return target
+
+
+@query(_AFTER_FEED)
+def event_feed_stream(spark: SparkSession, path: str) -> DataFrame:
+    """``event_feed`` as a stream that is stopped and started again."""
+    return _streamed(spark, path).read().withColumn("sleep_start", F.col("sleep_start").cast("timestamp_ntz"))
+
+
+@query(f"WITH {_FEED} SELECT seq, op, error_message FROM judged WHERE error_message IS NOT NULL")
+def event_feed_stream_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """The changes that the stream turned away, from the quarantine."""
+    change = F.from_json("raw", "seq BIGINT, op STRING").alias("change")
+    return _streamed(spark, path).rejected().select(change, "error_message").select("change.*", "error_message")
+
+
 @query(AMOUNT_CTE + """
 SELECT 1 AS job_id, 'amount_file' AS rule, error_message, count(*) AS n_rows,
        count(DISTINCT event_id) AS n_raw

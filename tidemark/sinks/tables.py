@@ -26,6 +26,7 @@ from tidemark.schemas import BUCKETS, CORE, PARTITIONS, REJECT, STAGING
 
 READY = "_READY"
 RUN = "_RUN="
+EMPTY = "_EMPTY"
 _REJECTED = T.StructField("rejected", T.BooleanType())
 
 
@@ -180,22 +181,43 @@ class Tables:
         return counts()
 
     def replace_buckets(
-        self, name: str, df: DataFrame, run: int, measures: dict[str, Column] | None = None
+        self, name: str, df: DataFrame, run: int, measures: dict[str, Column] | None = None,
+        buckets: Collection[int] = (),
     ) -> dict[str, object]:
         """Writes new copies of the buckets that ``df`` holds whole; files of all others stay as they are.
 
-        Returns what ``append`` returns. The copies of a run count with its success.
+        Those of ``buckets`` that ``df`` has no row of get an empty copy. Returns
+        what ``append`` returns. The copies of a run count with its success.
         """
+        path = self._path(name, self._current(name))
         df = df.withColumns({"bucket": self.bucket(name), "run": F.lit(run)})
         counted, counts = _counted(_spread(df, ["bucket"]), measures)
         (
             counted.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("bucket", "run")
-            .parquet(self._path(name, self._current(name)))
+            .parquet(path)
         )
+        for bucket in buckets:
+            fs, copy = self._fs(f"{path}/bucket={bucket}/run={run}")
+            if not fs.exists(copy):
+                fs.create(self._fs(f"{path}/bucket={bucket}/run={run}/{EMPTY}")[1], True).close()
         return counts()
 
+    def drop_old_copies(self, name: str) -> int:
+        """Frees copies of buckets that a newer one of a finished run stands for; none of them may be in use."""
+        path, hidden, freed = self.path(name), set(self.unfinished()), 0
+        fs, copies = self._fs(f"{path}/bucket=*/run=*")
+        by_bucket: dict[str, list[tuple[int, object]]] = {}
+        for status in fs.globStatus(copies) or ():
+            run = int(status.getPath().getName().removeprefix("run="))
+            if run not in hidden:
+                by_bucket.setdefault(status.getPath().getParent().getName(), []).append((run, status.getPath()))
+        for found in by_bucket.values():
+            for _, copy in sorted(found, key=lambda x: x[0])[:-1]:
+                freed += fs.delete(copy, True)
+        return freed
+
     def append(
         self,
         name: str,
