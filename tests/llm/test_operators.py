@@ -244,16 +244,49 @@ def test_field_is_fitted_on_whole_distinct_texts(spark):
 
 def test_quality(spark, docs):
     table, labels = read(spark, PATH, "documents"), read(spark, PATH, "labels")
-    kept = {r.doc_id: r.kept for r in quality.resample(table, labels).collect()}
-    truth = {r.doc_id: r.quality for r in labels.collect()}
-    good = [kept[i] for i in truth if truth[i] == 1 and i in kept]
-    bad = [kept[i] for i in truth if truth[i] == 0 and i in kept]
-    assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.1 * len(bad)
     chosen = quality.select(table, labels)
-    assert chosen.columns == table.columns and {r.doc_id for r in chosen.collect()} == {i for i in kept if kept[i]}
+    kept = {r.doc_id for r in chosen.collect()}
+    truth = {r.doc_id: r.quality for r in labels.collect()}
+    good = [i in kept for i in truth if truth[i] == 1]
+    bad = [i in kept for i in truth if truth[i] == 0]
+    assert chosen.columns == table.columns and sum(good) >= 0.97 * len(good) and sum(bad) <= 0.1 * len(bad)
+    assert quality.select(table.limit(0), labels).count() == 0
     none = spark.createDataFrame([], labels.schema)
-    plain = {(r.doc_id, r.kept) for r in quality.resample(docs, none).collect()}
-    assert {i for i, k in plain if not k} == {4, 5, 6}
+    assert {r.doc_id for r in quality.select(docs, none).collect()} == {r.doc_id for r in docs.collect()} - {4, 5, 6}
+
+
+def test_resampling(spark, docs):
+    """Share, junk, odd rows and names: what is drawn is the k highest keys."""
+    table, labels = read(spark, PATH, "documents"), read(spark, PATH, "labels")
+    rows = quality.resample(table, labels, share=0.5).collect()
+    keys = sorted((r.draw_key for r in rows if r.log_weight > -math.inf), reverse=True)
+    assert {r.doc_id for r in rows if r.kept} == {r.doc_id for r in rows if r.draw_key >= keys[len(keys) // 2 - 1]}
+    truth = {r.doc_id: r.quality for r in labels.collect()}
+    drawn = [truth[r.doc_id] for r in rows if r.kept and r.doc_id in truth]
+    assert sum(1 - x for x in drawn) <= 0.02 * len(drawn)
+    by_weight = sorted((r for r in rows if r.log_weight > -math.inf), key=lambda r: -r.log_weight)
+    assert not all(r.kept for r in by_weight[: len(keys) // 2])  # the noise decides too
+    odd = quality.resample(docs, spark.createDataFrame([], labels.schema), share=1.0).collect()
+    assert {r.doc_id for r in odd if not r.kept} == {4, 5, 6} and len(odd) == docs.count()
+    assert quality.resample(_empty(spark, docs), labels).count() == 0
+    assert not [r for r in quality.resample(docs, labels, share=0.0).collect() if r.kept]
+
+
+def test_draw_follows_the_weights(spark):
+    """How often a row is drawn over several seeds is as in a plain simulation of the sampling."""
+    weights = np.repeat([2.0, 1.0, 0.0, -1.0, -9.0], 80)
+    weighed = prepare(spark).createDataFrame([(i, str(i), float(w)) for i, w in enumerate(weights)], "doc_id long, text string, log_weight double")
+    seen, seeds = np.zeros(len(weights)), 12
+    for seed in range(seeds):
+        kept = [r.doc_id for r in quality.draw(weighed, 0.4, seed).where("kept").collect()]
+        assert len(kept) == 160
+        seen[kept] += 1
+    rng, plain = np.random.default_rng(3), np.zeros(len(weights))
+    for _ in range(300):
+        share = np.exp(weights) / np.exp(weights).sum()
+        plain[rng.choice(len(weights), 160, replace=False, p=share)] += 1
+    ours, theirs = (x.reshape(5, 80).mean(axis=1) / n for x, n in ((seen, seeds), (plain, 300)))
+    assert np.abs(ours - theirs).max() < 0.06 and ours[4] < 0.01
 
 
 def test_main_text(spark):

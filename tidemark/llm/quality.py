@@ -19,7 +19,7 @@ BUCKETS = WORD_BUCKETS + SHAPE_BUCKETS
 LABELS = 20_000
 """Labelled rows that the target model and the acceptance level are fitted on, at most."""
 SHARP = 200.0
-"""Weight of the mean log ratio against the Gumbel noise."""
+"""Weight of the mean log ratio against the Gumbel noise in ``select``, where the noise decides next to nothing."""
 PRIOR = 8
 """N-grams of neutral evidence that each text starts with, so that a few odd words alone condemn none."""
 ACCEPT = 0.9995
@@ -197,9 +197,9 @@ def _scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     return docs.drop("log_weight").mapInArrow(run, f"{kinds}, log_weight double")
 
 
-def _gumbel(id_col: str) -> F.Column:
-    """Gumbel noise from a hash of the id: the same in every run."""
-    u = (F.pmod(F.xxhash64(F.col(id_col), F.lit("gumbel")), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
+def _gumbel(id_col: str, *more: str | F.Column) -> F.Column:
+    """Gumbel noise from a hash of the id and what else is given: the same in every run."""
+    u = (F.pmod(F.xxhash64(F.col(id_col), F.lit("gumbel"), *more), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
     return -F.log(-F.log(u))
 
 
@@ -225,25 +225,37 @@ def _kth(keys: DataFrame, k: int) -> float:
     return low
 
 
-def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
+def resample(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
+    share: float = 0.5, temperature: float = 0.05, seed: int = 0,
+) -> DataFrame:
     """``id_col, log_weight, draw_key, kept`` for every row of ``docs``.
 
     The log importance weight of a document is the mean log ratio of a target
-    and a raw model over its hashed n-grams, times ``SHARP``. Gumbel noise is
-    added, and the k highest keys are the sample without replacement, k being
-    the number of documents whose weight reaches the acceptance level. The
-    noise is a hash of the id, so results repeat.
+    and a raw model over its hashed n-grams, divided by ``temperature``. Gumbel
+    noise is added, and the k highest keys are drawn: a sample of k without
+    replacement, in which each document comes next with a chance in proportion
+    to the exponential of its weight. k is ``share`` of the documents with words,
+    rounded down. The noise is a hash of id, text and ``seed``, so results repeat.
 
     Texts without words (null, empty, white space) have the weight minus
-    infinity and are never drawn. Without any good label nothing can be told
-    apart: all documents with words are kept. Null ids share one noise; ties
-    at the k-th key are all kept; repeated rows are drawn alike. Other columns
+    infinity and are never drawn. Without any good label all weights are 0 and
+    the draw is an even one. Repeated rows have one key and are drawn alike; keys within
+    1e-7 of the k-th one count as ties, and ties are all drawn. Other columns
     are not read; an empty table gives no rows.
     """
-    model = fit(docs, labels, id_col, text_col, label_col)
-    scored = _scored(docs.select(id_col, text_col), model, text_col).drop(text_col)
-    scored = materialise(scored.withColumn("draw_key", F.col("log_weight") + _gumbel(id_col)), "weights")
-    return scored.withColumn("kept", F.col("draw_key") >= F.lit(_threshold(scored, model)))
+    scored = _scored(docs.select(id_col, text_col), fit(docs, labels, id_col, text_col, label_col), text_col)
+    weight = F.col("log_weight") / F.lit(SHARP * temperature)
+    return draw(scored.withColumn("log_weight", weight), share, seed, id_col, text_col)
+
+
+def draw(weighed: DataFrame, share: float, seed: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Gumbel top-k of rows with a ``log_weight``; the text only takes part in the noise."""
+    key = F.col("log_weight") + _gumbel(id_col, text_col, F.lit(seed))
+    keyed = materialise(weighed.select(id_col, "log_weight", key.alias("draw_key")), "weights")
+    real = keyed.where(F.col("log_weight") > float("-inf")).withColumnRenamed("draw_key", "key")
+    least = _kth(real, int(share * real.count()))
+    return keyed.withColumn("kept", (F.col("log_weight") > float("-inf")) & (F.col("draw_key") >= F.lit(least)))
 
 
 def _threshold(scored: DataFrame, model: Model) -> float:
@@ -253,9 +265,15 @@ def _threshold(scored: DataFrame, model: Model) -> float:
 
 
 def select(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
-    """The rows of ``docs`` that ``resample`` keeps, with their own columns only.
+    """The rows of ``docs`` of good quality, with their own columns only.
+
+    A classifier by the same two models: k is the number of documents whose
+    weight reaches the level fitted on labelled rows, and weights are so sharp that
+    the draw takes in effect those above it. Clean documents stay, unlike in
+    ``resample``, which thins them out too. Texts without words go; without
+    any good label all documents with words stay; an empty table gives no rows.
 
-    Weights are computed for the draw and once more for the selection, which
+    Weights are computed for the level and once more for the selection, which
     needs no join of the texts.
     """
     model = fit(docs, labels, id_col, text_col, label_col)
