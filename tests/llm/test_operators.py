@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -429,3 +430,35 @@ def test_tokens_with_a_sign_are_found_in_one_pass():
     start = time.perf_counter()
     assert len(list(pii._TOKEN.finditer("x" * 200_000 + " 1"))) == 1
     assert time.perf_counter() - start < 2
+
+
+def _main(page):
+    found = extraction.blocks(page)
+    return [text for place, text in found if place == (2 if any(p == 2 for p, _ in found) else 1)]
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<html><head><title>t</title><body><article><p>a</p></article>", ["a"]),
+    ("<html><head><title>t</title><article><p>a</article>", ["a"]),
+    ("<head><title>t</title><b>a</b> b<p>c", ["a b", "c"]),
+    ("<article><p class='notice'>x<p>real</p></article>", ["real"]),
+    ("<article><p class=ad>x<div>real</div>", ["real"]),
+    ("<article><ul><li class=promo>x<li>real<ul><li>inner</ul><li>last</ul>", ["real", "inner", "last"]),
+    ("<article><dl><dt>a<dd class='ad'>x<dt>b<dd>c</dl>", ["a", "b", "c"]),
+    ("<article><table><tr><td class=ad>x<td>a<tr class=ad><td>x<tr><td>b<table><tr><td>c</table></table>", ["a", "b", "c"]),
+    ("<article><a href=x\">a</a> <a title='1 > 2'>b</a> <i data-x = \"<p>\">c</i></article>", ["a b c"]),
+    ("<article>1 < 2 and a<b>c</b></article>", ["1 < 2 and ac"]),
+    ("<article>a</article><footer>x</article></footer><scripted>b</scripted>", ["a"]),
+])
+def test_blocks_of_markup_with_tags_left_out(page, text):
+    assert _main(page) == text
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 50_000, "<!" * 50_000, "<a x=\"" * 50_000, "<a x='" * 50_000 + "y", "<script>" * 50_000, "</b>" * 20_000 + "<div>" * 20_000,
+    "<div>" * 20_000 + "<b>x</b>" * 20_000, "<div>" * 20_000 + "</p>" * 20_000, "<ul><li>" * 10_000 + "<p>x" * 20_000, "<p class=ad>x" * 20_000,
+])
+def test_long_markup_takes_linear_time(page):
+    begun = time.monotonic()
+    extraction.blocks(page)
+    assert time.monotonic() - begun < 2
