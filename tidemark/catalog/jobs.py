@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.catalog import query, table
 from tidemark.catalog.cleansing import SEGMENT_ZONE
 from tidemark.functions.coerce import iso_seconds
+from tidemark.plans.dimensions import UNKNOWN_STATUS, UNKNOWN_SUBJECT
+from tidemark.plans.facts import FACTS
 from tidemark.plans.flow import Sources, incremental_load, initial_load
 from tidemark.plans.mappings import STATUS_TABLE
 from tidemark.plans.staging import Warehouse
@@ -117,7 +119,12 @@ _CHANGED = f"c_acctbal < 0 AND {SEGMENT_ZONE} <> 'UTC'"
     + f"""
 UNION ALL SELECT 'dim_baby', count(*) + 1 + count(*) FILTER ({_CHANGED}) FROM customer""")
 def star_incremental_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of every table after an initial load of the past and one update.
+    """Rows of every table after an initial load of the past and one update."""
+    return _counts(_updated(spark, path), TABLES)
+
+
+def _updated(spark: SparkSession, path: str) -> Warehouse:
+    """A warehouse after an initial load of the past and one update.
 
     The update sees all operational rows, extracts those past its marks, finds
     subjects that moved to another zone and a file of newer amounts.
@@ -138,7 +145,61 @@ def star_incremental_counts(spark: SparkSession, path: str) -> DataFrame:
     )
     wh = Warehouse(spark, f"{root}/warehouse", SECOND_RUN)
     incremental_load(wh, newer, SECOND_RUN)
-    return _counts(wh, TABLES)
+    return wh
+
+
+# A fact key goes to the earliest event, then to the highest source id (text in the file's table). Events of the
+# update refer to the version that it opened, as all of them lie before the first one began.
+_FACT = """
+SELECT '{name}' AS name, nk AS baby_nk, NOT (old AND nk IN (SELECT c_custkey FROM customer WHERE {changed})) AS is_open,
+       CAST(strftime(happened, '%Y%m%d') AS INTEGER) AS date_sk, CAST(strftime(happened, '%H%M') AS INTEGER) AS time_sk, measure
+FROM (SELECT *, row_number() OVER (PARTITION BY nk, date_trunc('minute', happened) ORDER BY happened, id DESC) AS place FROM ({events}))
+WHERE place = 1"""
+_EVENTS = f"CAST(user_id AS INTEGER) AS nk, ts < TIMESTAMP '{EVENT_CUT}' AS old"
+
+
+@query(" UNION ALL ".join(_FACT.format(name=name, changed=_CHANGED, events=events) for name, events in {
+    "fact_sleep": f"""
+SELECT CAST(o_custkey AS INTEGER) AS nk, o_orderdate < TIMESTAMP '{ORDER_CUT}' AS old, o_orderkey AS id,
+       o_orderdate + to_minutes(CAST(o_orderkey % 1440 AS INTEGER)) AS happened, CAST(o_orderkey % 600 AS VARCHAR) AS measure FROM orders""",
+    "fact_diaper": f"SELECT {_EVENTS}, event_id AS id, date_trunc('second', ts) AS happened, event_type AS measure FROM events",
+    "fact_formula_feed": f"""
+SELECT {_EVENTS}, CAST(event_id AS VARCHAR) AS id, date_trunc('minute', ts) AS happened,
+       CAST(CAST(floor(value) AS INTEGER) AS VARCHAR) AS measure FROM events WHERE event_id % 37 <> 0""",
+}.items()))
+def star_fact_rows(spark: SparkSession, path: str) -> DataFrame:
+    """All facts after an initial load and an update, with the subject instead of its surrogate key."""
+    wh = _updated(spark, path)
+    versions = wh.tables.read("dim_baby").select("baby_sk", "baby_nk", F.col("is_current").alias("is_open"))
+    facts = [
+        wh.tables.read(f.table).select(
+            F.lit(f.table).alias("name"), "baby_sk", F.col(f.date_sk).alias("date_sk"), F.col(f.time_sk).alias("time_sk"),
+            F.col(f.target).cast("string").alias("measure"),
+        )
+        for f in FACTS
+    ]
+    rows = facts[0].unionByName(facts[1]).unionByName(facts[2])
+    return rows.join(versions, "baby_sk", "left").drop("baby_sk")
+
+
+@query(f"""
+SELECT 'dim_baby' AS name, CAST(c_custkey AS VARCHAR) AS member, c_name AS label, {SEGMENT_ZONE} AS zone, NOT ({_CHANGED}) AS is_open
+FROM customer
+UNION ALL SELECT 'dim_baby', CAST(c_custkey AS VARCHAR), c_name, 'UTC', true FROM customer WHERE {_CHANGED}
+UNION ALL SELECT 'dim_baby', '-1', '{UNKNOWN_SUBJECT[0]}', '{UNKNOWN_SUBJECT[1]}', true
+UNION ALL SELECT DISTINCT 'dim_diaper_status', event_type, event_type, NULL, NULL FROM events
+UNION ALL SELECT 'dim_diaper_status', '{UNKNOWN_STATUS[0]}', '{UNKNOWN_STATUS[1]}', NULL, NULL""")
+def star_dim_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Members of both dimensions that events lead to, with all versions, after an initial load and an update."""
+    wh = _updated(spark, path)
+    subjects = wh.tables.read("dim_baby").select(
+        F.lit("dim_baby").alias("name"), F.col("baby_nk").cast("string").alias("member"),
+        F.col("baby_name").alias("label"), F.col("timezone_iana").alias("zone"), F.col("is_current").alias("is_open"),
+    )
+    statuses = wh.tables.read("dim_diaper_status").select(
+        F.lit("dim_diaper_status").alias("name"), F.col("diaper_status_sk").alias("member"), F.col("diaper_status").alias("label")
+    )
+    return subjects.unionByName(statuses, allowMissingColumns=True)
 
 
 @query("""
