@@ -134,8 +134,9 @@ def near_vectors(
     lists of the first ``LISTS``; two classes of a list that share ``SHARED``
     pivots are compared by cosine in doubles. Lists are cut into blocks and
     each pair of blocks is a task, so no list is held whole and none is cut
-    short. Every row is indexed; a link is missed only where two vectors stand
-    in no list together.
+    short. Every row is indexed; a link is missed where two vectors stand in no
+    list together or share fewer than ``SHARED`` pivots (recall of links
+    against brute force: 0.9984 and 0.9999 on two tables, see the README).
 
     ``n_links`` counts the other rows linked directly, copies included;
     ``component_id`` is the smallest id that links reach. Vectors that are
