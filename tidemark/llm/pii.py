@@ -23,6 +23,9 @@ ROUNDS = 12
 """Rounds of message passing."""
 SURE = 0.9
 """Marginal at which a token becomes a span."""
+LABELS = 1 + len(KINDS)
+STEPS, RIDGE, BLOCK = 400, 1e-5, 50_000
+"""Steps of the fit, its pull towards no weights, and looks that it takes at a time."""
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -173,112 +176,131 @@ def marginals(field: Field, unary: np.ndarray, chain: list, skip: list) -> np.nd
 def added_spans(text: str, base: dict[str, list[Span]], field: Field) -> dict[str, list[Span]]:
     """Spans that the field finds beside the pattern matches, which it takes as given.
 
-    A token becomes a span if its marginal for a kind reaches ``SURE`` and a
-    token like it elsewhere in the document has that kind: consistency over
-    the document is what the field adds. Neighbouring tokens of a kind join.
+    Every text with a token that could be personal data is looked at, whether a
+    pattern matches in it or not. A token becomes a span if its marginal for a
+    kind reaches ``SURE``; what raises it are its look, its neighbours, and
+    tokens like it elsewhere. Neighbouring tokens of a kind join.
     """
     out: dict[str, list[Span]] = {k: [] for k in KINDS}
-    if not any(base.values()):
-        return out
     tokens = _tokens(text)
-    chain, skip = _edges(text, tokens)
-    if not skip:
-        return out
     labels = _labels(tokens, base)
+    if labels.all():
+        return out
+    chain, skip = _edges(text, tokens)
     given = np.flatnonzero(labels)
     unary = np.stack([field.unary[_features(text[s:e])].sum(axis=0) for s, e in tokens])
     unary[given] = -50.0
     unary[given, labels[given]] = 0.0
     shares = marginals(field, unary, chain, skip)
     best = shares.argmax(axis=1)
-    near = {i for e in skip for i in e}
-    kinds = {i: best[i] for i in range(len(tokens)) if not labels[i] and best[i] and shares[i, best[i]] >= SURE and i in near}
+    sure = (labels == 0) & (best > 0) & (shares.max(axis=1) >= SURE)
+    order = np.flatnonzero(sure).tolist()
     joined = {i for i, _ in chain}
     i = 0
-    order = sorted(kinds)
     while i < len(order):
         j = i
-        while j + 1 < len(order) and order[j + 1] == order[j] + 1 and kinds[order[j + 1]] == kinds[order[i]] and order[j] in joined:
+        while j + 1 < len(order) and order[j + 1] == order[j] + 1 and best[order[j + 1]] == best[order[i]] and order[j] in joined:
             j += 1
-        out[KINDS[kinds[order[i]] - 1]].append((tokens[order[i]][0], tokens[order[j]][1]))
+        out[KINDS[best[order[i]] - 1]].append((tokens[order[i]][0], tokens[order[j]][1]))
         i = j + 1
     return out
 
 
 def _counts(docs: DataFrame, text_col: str) -> DataFrame:
-    """``name, look, label, n``: labelled tokens by features, and pairs of labels of ``chain`` and ``skip`` edges."""
+    """``look, label, n``: tokens by their features and the labels of their neighbours.
+
+    ``look`` holds the numbers of the features, then how many ``chain``
+    neighbours have each label, then how many ``skip`` neighbours do. A token
+    has two of the first and six of the second at most.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: Counter = Counter()
         for batch in batches:
             for text in texts(batch.column(0)):
-                base, tokens = base_spans(text), _tokens(text)
-                found = _labels(tokens, base).tolist()
-                for name, edges in zip(("chain", "skip"), _edges(text, tokens), strict=True):
+                tokens = _tokens(text)
+                found = _labels(tokens, base_spans(text)).tolist()
+                around = [bytearray(2 * LABELS) for _ in tokens]
+                for at, edges in zip((0, LABELS), _edges(text, tokens), strict=True):
                     for i, j in edges:
-                        sums[name, bytes((found[i],)), found[j]] += 1
-                        sums[name, bytes((found[j],)), found[i]] += 1
+                        around[i][at + found[j]] += 1
+                        around[j][at + found[i]] += 1
                 rng = random.Random(xxhash.xxh3_64_intdigest(text))
-                for (s, e), label in zip(tokens, found, strict=True):
+                for (s, e), label, near in zip(tokens, found, around, strict=True):
+                    if not label and any(near[LABELS + 1 :]):
+                        continue  # like a match, so what it is stays open
                     word = text[s:e]
                     if label and rng.random() < 0.5:
                         cut = rng.randrange(len(word))
                         word = word[:cut] + word[cut + 1 :] if rng.random() < 0.7 else word.upper()
                     if word:
-                        sums["token", bytes(_features(word)), label] += 1
+                        sums[bytes(_features(word)) + bytes(near), label] += 1
                 if len(sums) >= HELD:
                     yield part(sums)
                     sums.clear()
         yield part(sums)
 
     def part(sums: Counter) -> pa.RecordBatch:
-        names, looks, labels = zip(*sums, strict=True) if sums else ((), (), ())
-        columns = [pa.array(names, pa.string()), pa.array(looks, pa.binary()), pa.array(labels, pa.int32()), pa.array(list(sums.values()), pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, ["name", "look", "label", "n"])
+        looks, labels = zip(*sums, strict=True) if sums else ((), ())
+        columns = [pa.array(looks, pa.binary()), pa.array(labels, pa.int32()), pa.array(list(sums.values()), pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["look", "label", "n"])
 
     distinct = docs.where(F.col(text_col).rlike("[0-9@]")).select(text_col).distinct()
-    counted = distinct.mapInArrow(run, "name string, look binary, label int, n long")
-    return counted.groupBy("name", "look", "label").agg(F.sum("n").alias("n"))
+    counted = distinct.mapInArrow(run, "look binary, label int, n long")
+    return counted.groupBy("look", "label").agg(F.sum("n").alias("n"))
 
 
 def fit(docs: DataFrame, text_col: str = "text") -> Field:
     """Trains the field on all distinct texts with a digit or @, whole.
 
-    The patterns label the tokens, the field learns what such tokens look
-    like: a multinomial logistic model for single tokens, half of them damaged
-    as in careless writing (a mark or digit lost, other case) so that it
-    knows them without the pattern; log odds of agreement for neighbours and for
-    skip edges. Tasks count tokens by features and label; only these sums reach
-    the driver, one for each look of a token. Copies of a text count once, and
-    the damage follows from the text, so neither order nor partitions matter.
+    The patterns label the tokens. All weights, those of looks, of neighbours and
+    of skip edges, are fitted together to the pseudo-likelihood of the field:
+    each token's label given the labels around it. Half of the labelled tokens
+    are damaged as in careless writing (a mark or digit lost, other case), so
+    that the field knows them without the pattern and learns how far to trust
+    what is around them. A token without a label that is like one with a label
+    takes no part: whether it is personal data is what the field is to tell. Tasks count tokens by look, label and labels around; only
+    these sums reach the driver. Copies of a text count once, and the damage
+    follows from the text, so neither order nor partitions matter.
     """
-    pairs = {"chain": np.full((5, 5), 0.5), "skip": np.full((5, 5), 0.5)}
     seen: dict[bytes, np.ndarray] = {}
-    for name, look, label, n in _counts(docs, text_col).toLocalIterator():
-        if name == "token":
-            seen.setdefault(bytes(look), np.zeros(5))[label] += n
-        else:
-            pairs[name][look[0], label] += n
-    unary = np.zeros((WIDTH, 5))
-    if seen:
-        looks = sorted(seen)
-        x, y = np.frombuffer(b"".join(looks), np.uint8).reshape(len(looks), -1).astype(int), np.array([seen[k] for k in looks])
-        weight = y.sum(axis=1, keepdims=True)
-        for step in range(150):
-            score = unary[x].sum(axis=1)
+    for look, label, n in _counts(docs, text_col).toLocalIterator():
+        seen.setdefault(bytes(look), np.zeros(LABELS))[label] += n
+    weights = _pseudo_likelihood(*_design(seen)) if seen else np.zeros((WIDTH + 2 * LABELS, LABELS))
+    chain, skip = weights[WIDTH : WIDTH + LABELS], weights[WIDTH + LABELS :]
+    return Field(weights[:WIDTH], chain, skip)
+
+
+def _design(seen: dict[bytes, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """A row for each look in order: how often each weight counts; and its labels."""
+    looks = sorted(seen)
+    raw = np.frombuffer(b"".join(looks), np.uint8).reshape(len(looks), -1)
+    design = np.zeros((len(looks), WIDTH + 2 * LABELS), np.uint8)
+    for column in raw[:, : -2 * LABELS].T:
+        design[np.arange(len(looks)), column] += 1
+    design[:, WIDTH:] = raw[:, -2 * LABELS :]
+    return design, np.array([seen[look] for look in looks])
+
+
+def _pseudo_likelihood(design: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Weights by accelerated gradient ascent, with the step that the curvature allows; pair weights are symmetric."""
+    total = counts.sum()
+    parts = [(design[i : i + BLOCK], counts[i : i + BLOCK]) for i in range(0, len(design), BLOCK)]
+    curved = sum((x.astype(float) * y.sum(axis=1, keepdims=True)).T @ x for x, y in parts) / total
+    step = 2.0 / np.linalg.eigvalsh(curved)[-1]
+    weights = ahead = np.zeros((design.shape[1], LABELS))
+    for turn in range(STEPS):
+        slope = -RIDGE * ahead
+        for x, y in parts:
+            score = x @ ahead
             share = np.exp(score - _log_sum(score, 1)[:, None])
-            slope = np.zeros_like(unary)
-            for column in range(x.shape[1]):
-                np.add.at(slope, x[:, column], y - weight * share)
-            unary += (4.0 / (1 + step / 50)) * slope / weight.sum() - 1e-4 * unary
-    odds = {}
-    for name, table in pairs.items():
-        share = table / table.sum()
-        odds[name] = np.clip(np.log(share / np.outer(share.sum(axis=1), share.sum(axis=0))), -3, 3)
-    alike = odds["skip"] * 0
-    agree = np.trace(pairs["skip"]) / pairs["skip"].sum()
-    alike[np.arange(5), np.arange(5)] = np.clip(np.log(agree / max(1e-3, 1 - agree)), 1, 5)
-    return Field(unary, odds["chain"], alike)
+            slope += x.T @ (y - y.sum(axis=1, keepdims=True) * share) / total
+        moved = ahead + step * slope
+        for pair in (moved[WIDTH : WIDTH + LABELS], moved[WIDTH + LABELS :]):
+            pair[:] = (pair + pair.T) / 2
+        ahead = moved + turn / (turn + 3) * (moved - weights)
+        weights = moved
+    return weights
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", field: Field | None = None) -> DataFrame:
