@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.catalog import query, table
 from tidemark.catalog.dimensions import HISTORY_SQL, history
+from tidemark.functions.keys import month_key
 from tidemark.operators.insert_absent import absent_rows
+from tidemark.operators.key_filter import absent_by_filter
 from tidemark.operators.lookup import interval_join, resolve_member
 from tidemark.operators.scd2 import UNKNOWN_KEY
 from tidemark.session import workspace
 from tidemark.sinks.tables import Tables
 from tidemark.plans.facts import (
     Fact,
+    key_filter,
     keyed_events,
     survivors_first,
     with_current_subject,
@@ -259,6 +262,25 @@ def fact_incremental(spark: SparkSession, path: str) -> DataFrame:
     return _output(first, EVENTS).unionByName(_output(second, EVENTS))
 
 
+@query(_incremental_sql("value"))
+def fact_filtered(spark: SparkSession, path: str) -> DataFrame:
+    """The same two loads, the second one asking filters of the stored keys which partitions to read."""
+    fact, members, tables = EVENTS, versioned_members(spark, path), Tables(spark, workspace(spark, "filtered"))
+    by = key_filter(fact, blocks=64)
+    events = with_subject_at(keyed_events(staged_events(spark, path, "hour"), fact), members, fact.ts)
+    events = events.withColumn(by.lead, month_key(F.col(fact.date_sk)))
+    order = survivors_first(events, "baby_id", fact.ts)
+    first = absent_rows(events.where("job_id % 2 = 1"), None, fact.key, order)
+    tables.replace("fact", first, [by.lead, by.run])
+    stored = tables.read("fact", first.schema)
+    tables.replace("keys", by.build(stored), [by.lead, by.run])
+    second = absent_by_filter(
+        events.where("job_id % 2 = 0"), stored, tables.partitions("fact", by.lead, by.run),
+        tables.read("keys", by.schema), by, order,
+    )
+    return _output(stored, fact).unionByName(_output(second, fact))
+
+
 @query(_incremental_sql("event_type AS status"))
 def fact_status_incremental(spark: SparkSession, path: str) -> DataFrame:
     first, second = _incremental(spark, path, STATUS_EVENTS)

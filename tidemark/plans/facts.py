@@ -10,12 +10,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.keys import date_key, instant, month_key, time_key
 from tidemark.operators.dedup import latest_load_first
 from tidemark.operators.insert_absent import absent_rows
+from tidemark.operators.key_filter import KeyFilter, absent_by_filter
 from tidemark.operators.lineage import in_batches
 from tidemark.operators.lookup import lookup_join, resolve_member
 from tidemark.operators.scd2 import UNKNOWN_KEY
 from tidemark.plans.dimensions import UNKNOWN_STATUS, load_spec
 from tidemark.plans.ledger import Outcome
-from tidemark.plans.staging import Warehouse
+from tidemark.plans.staging import Warehouse, keys_of
+from tidemark.schemas import CORE
 
 
 @dataclass(frozen=True)
@@ -116,7 +118,9 @@ def load_fact(wh: Warehouse, dag: str, when: datetime, fact: Fact) -> Outcome:
         known = with_current_subject(events, wh.tables.read("dim_baby"), fact.ts)
         order = survivors_first(known, "baby_id", fact.ts)
         rows = fact_rows(absent_rows(known, None, fact.key, order), fact, wh, job_id)
-        return _loaded(events, wh.tables.replace(fact.table, rows, run=job_id)["rows"], job_id)
+        written = wh.tables.replace(fact.table, rows, run=job_id)["rows"]
+        keep_keys(wh, fact, job_id, afresh=True)
+        return _loaded(events, written, job_id)
 
     spec = load_spec(fact.task, f"staging.{fact.staging}", fact.table, "initial")
     return wh.run(spec, dag, when, work)
@@ -133,15 +137,44 @@ def load_new_facts(wh: Warehouse, dag: str, when: datetime, fact: Fact) -> Outco
         staged = in_batches(wh.tables.read(fact.staging), wh.ledger.take(job_id, fact.staging, fact.table))
         events = keyed_events(staged, fact)
         known = with_subject_at(events, wh.tables.read("dim_baby"), fact.ts)
-        present = in_months_of(wh.tables.read(fact.table), events, fact)
         order = survivors_first(known, "baby_id", fact.ts)
-        rows = fact_rows(absent_rows(known, present, fact.key, order), fact, wh, job_id)
-        return _loaded(events, wh.tables.append(fact.table, rows)["rows"], job_id)
+        if wh.key_blocks:
+            fresh = _absent_by_filter(known, fact, wh, order)
+        else:
+            fresh = absent_rows(known, in_months_of(wh.tables.read(fact.table), events, fact), fact.key, order)
+        written = wh.tables.append(fact.table, fact_rows(fresh, fact, wh, job_id))["rows"]
+        keep_keys(wh, fact, job_id)
+        return _loaded(events, written, job_id)
 
     spec = load_spec(fact.task, f"staging.{fact.staging}", fact.table, "incremental")
     return wh.run(spec, dag, when, work)
 
 
+def key_filter(fact: Fact, blocks: int) -> KeyFilter:
+    return KeyFilter(tuple(fact.key), blocks)
+
+
+def keep_keys(wh: Warehouse, fact: Fact, job_id: int, afresh: bool = False) -> None:
+    """Stores the key filters of what a run has just written; they count with its success, as its rows do."""
+    if not wh.key_blocks:
+        return
+    by = key_filter(fact, wh.key_blocks)
+    written = wh.spark.read.schema(CORE[fact.table]).parquet(wh.tables.path(fact.table, job_id))
+    filters = by.build(written.where(F.col(by.run) == job_id))
+    if afresh:
+        wh.tables.replace(keys_of(fact.table), filters, [by.lead, by.run], run=job_id)
+    else:
+        wh.tables.append(keys_of(fact.table), filters, [by.lead, by.run])
+
+
+def _absent_by_filter(known: DataFrame, fact: Fact, wh: Warehouse, order: list[Column]) -> DataFrame:
+    by = key_filter(fact, wh.key_blocks)
+    return absent_by_filter(
+        known.withColumn(by.lead, month_key(F.col(fact.date_sk))), wh.tables.read(fact.table),
+        wh.tables.partitions(fact.table, by.lead, by.run), wh.tables.read(keys_of(fact.table), by.schema), by, order,
+    )
+
+
 def in_months_of(table: DataFrame, events: DataFrame, fact: Fact) -> DataFrame:
     """The partitions of a fact table that can hold keys of these events.
 

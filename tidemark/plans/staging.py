@@ -16,13 +16,23 @@ from tidemark.sinks.tables import Tables
 from tidemark.sources.readers import after_mark, read_csv
 
 
+def keys_of(table: str) -> str:
+    """The table that holds the key filters of a fact table."""
+    return f"{table}_keys"
+
+
 @dataclass
 class Warehouse:
-    """Where tables, ledger and quarantine live, and the instant of this run."""
+    """Where tables, ledger and quarantine live, and the instant of this run.
+
+    With ``key_blocks`` facts keep filters of their keys, of so many blocks for a
+    month's batch, which later loads ask before they read (see ``KeyFilter``).
+    """
 
     spark: SparkSession
     root: str
     run_ts: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
+    key_blocks: int = 0
 
     def __post_init__(self) -> None:
         self.ledger = Ledger(self.spark, f"{self.root}/metadata/etl_job", lambda: self.run_ts)
@@ -36,6 +46,7 @@ class Warehouse:
 
         def undo(job_id: int) -> None:
             self.tables.discard(spec.table, job_id)
+            self.tables.discard(keys_of(spec.table), job_id)
             drop_quarantine(self.spark, f"{self.quarantine}/{spec.table}", job_id)
 
         return run_job(self.ledger, spec, dag, when, work, undo)

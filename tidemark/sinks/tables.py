@@ -150,6 +150,15 @@ class Tables:
         chosen = [(F.col("run") == run) & F.col("bucket").isin(here) for run, here in by_run.items()]
         return rows.where(reduce(or_, chosen, F.lit(False))).drop("bucket", "run")
 
+    def partitions(self, name: str, *columns: str) -> list[tuple[int, ...]]:
+        """The directories by whole-numbered ``columns`` of the table's current version, whichever run wrote them."""
+        path = self.path(name)
+        if path is None:
+            return []
+        fs, pattern = self._fs("/".join([path, *(f"{c}=*" for c in columns)]))
+        found = [status.getPath().toString().split("/")[-len(columns) :] for status in fs.globStatus(pattern) or ()]
+        return [tuple(int(part.split("=", 1)[1]) for part in parts) for parts in found]
+
     def rejected(self, name: str, job_id: int) -> DataFrame:
         """Rows of a batch that staging turned away: ``error_message`` and ``raw``."""
         fields = [*REJECT.fields, T.StructField("job_id", T.IntegerType()), _REJECTED]
