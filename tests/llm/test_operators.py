@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import time
 import zlib
@@ -322,6 +323,36 @@ def test_main_text_of_copies_under_several_urls(spark):
     assert all(got[i] == f"{own[i - 7]}\nYes.\nend of {i}" for i in (7, 8, 9))
 
 
+def test_main_text_by_suffix_array(spark, monkeypatch):
+    """The array holds every suffix outside articles in order; what its neighbours share is what all pairs share."""
+    monkeypatch.setattr(extraction, "OUT_ROWS", 7)
+    rng, depth = random.Random(5), extraction.DEPTH
+    runs = [[rng.choice("a b c é z".split()) + str(rng.randrange(9)) for _ in range(n)] for n in (11, 12, 13, 30)]
+    bodies = []
+    for i in range(24):
+        parts = [rng.choice(runs) if rng.random() < 0.6 else [f"own{i}x{j}" for j in range(rng.randrange(3, 9))] for _ in range(6)]
+        bodies.append([w for p in parts for w in p])
+    pages = [(i, f"http://h{i % 2}.org/{i}", f"<body><p>{' '.join(b)}</p>" + ("<article>own</article>" if i % 5 == 0 else "")) for i, b in enumerate(bodies)]
+    pages += [(99, pages[1][1], pages[1][2]), (100, "http://all.org/", f"<nav>{' '.join(bodies[0])}</nav><article>own</article>")]
+    frame = prepare(spark).createDataFrame(pages, "page_id long, url string, html string")
+
+    keyed = frame.selectExpr("page_id AS content", "regexp_extract(url, '//([^/]*)', 1) AS host", "html")
+    ranges = [[(r.host, r.suffix) for r in part] for part in extraction.suffix_array(extraction._suffixes(keyed)).rdd.glom().collect()]
+    held = {i: bodies[i] for i in range(24)} | {99: bodies[1], 100: bodies[0]}
+    hosts = {r[0]: r[1].split("/")[2] for r in pages}
+    windows = {i: [" ".join(w[k : k + depth]) for k in range(len(w) - depth + 1)] for i, w in held.items()}
+    expected = sorted(((hosts[i], x) for i, xs in windows.items() for x in xs), key=lambda r: (r[0].encode(), r[1].encode()))
+    assert [r for part in ranges for r in part] == expected
+
+    contents = {(hosts[i], x): {j for j in windows if j != 99 and hosts[j] == hosts[i] and x in windows[j]} for i in windows for x in windows[i]}
+    for r in extraction.main_text(frame).collect():
+        i = r.page_id
+        gone = {k + d for k, x in enumerate(windows[i]) if len(contents[hosts[i], x]) >= extraction.CONTENTS for d in range(depth)}
+        left = [w for k, w in enumerate(held[i]) if k not in gone]
+        whole = len(gone) > extraction.NEARLY * len(held[i])
+        assert r.text == ("own" if i == 100 or i < 24 and i % 5 == 0 else " ".join(held[i] if whole else left))
+
+
 def _vectors(spark):
     rng = np.random.default_rng(1)
     base = rng.normal(size=(40, 8))
