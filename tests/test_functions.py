@@ -120,3 +120,19 @@ def test_custom_coercion(spark):
     spec = m.Mapping("loud", (m.Field("source_id", "id", "int"), m.Field("name", "name", shout)))
     row = m.map_rows(spark.createDataFrame([("1", "ann")], "id string, name string"), spec).first()
     assert row.name == "ANN"
+
+
+@pytest.mark.parametrize("kind, values", [("long", [0, 7, -1, 2**31 - 1, 2**31, -(2**31) - 1, -(2**63), None]), ("short", [3, -3, None])])
+def test_whole_numbers_are_typed_as_their_texts(spark, kind, values):
+    rows = spark.createDataFrame([(v,) for v in values], f"v {kind}").coalesce(1)
+    names = [f"__n_{x}" for x in ("value", "error", "text")]
+    direct = c.add_typed(rows, c.int_steps(F.col("v"), "n", rows.schema["v"].dataType)).select(names).collect()
+    assert direct == c.add_typed(rows, c.int_steps(F.col("v").cast("string"), "n")).select(names).collect()
+
+
+def test_texts_that_begin_with_the_year_are_read_as_by_their_pattern(spark):
+    texts = ["0000-01-05 10:00", "0001-1-5 9:05", "2023-02-29 10:00", "2024-01-05T24:00", "2024-02-29T1:02:03Z"]
+    rows = spark.createDataFrame([(v,) for v in texts], "v string").coalesce(1)
+    got = c.add_typed(rows, c.instant_steps(F.col("v"), "t")).select("__t_text", F.col("__t_error").isNull()).collect()
+    read = ["0000-01-05 10:00:00", "0001-01-05 09:05:00", None, None, "2024-02-29 01:02:03+00:00"]
+    assert [tuple(r) for r in got] == [(x, x is not None) for x in read]

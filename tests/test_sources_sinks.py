@@ -155,3 +155,18 @@ def test_rules_count_null_as_failure(spark):
     rules = [r.positive("n"), r.valid_status("s")]
     got = df.select(r.failed_rules(rules).alias("f")).collect()
     assert sorted(len(x.f) for x in got) == [0, 2]
+
+
+def test_month_with_many_rows_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidemark.sinks.tables.WRITE_BYTES", "200KB")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key, None)
+    rows = spark.range(300_000).selectExpr(
+        "id AS baby_sk", "20240105 AS sleep_start_date_sk", "CAST(id % 1440 AS INT) AS sleep_start_time_sk",
+        "CAST(hash(id) AS INT) AS duration_minutes", "TIMESTAMP '2024-01-05 00:00:00' AS loaded_at", "202401 AS month_sk", "1 AS job_id",
+    )
+    tables = Tables(spark, str(tmp_path))
+    assert tables.replace("fact_sleep", rows)["rows"] == 300_000
+    assert len(list(tmp_path.rglob("*.parquet"))) > 1
+    assert tables.read("fact_sleep").agg(F.count_distinct("baby_sk")).first()[0] == 300_000
+    assert spark.conf.get(key, None) == before

@@ -109,11 +109,13 @@ def map_rows(df: DataFrame, mapping: Mapping, parent_id: Column | None = None) -
             continue
         present = field.source in df.columns
         source = F.col(f"`{field.source}`") if present else F.lit(None).cast("string")
+        dtype = df.schema[field.source].dataType if present else None
         if field.kind == "timestamp":
-            dtype = df.schema[field.source].dataType if present else None
             coercions.append(instant_steps(source, field.name, dtype, field.fmt))
+        elif field.kind == "int":
+            coercions.append(int_steps(source, field.name, dtype))
         elif isinstance(field.kind, str):
-            coercions.append({"int": int_steps, "text": text_steps}[field.kind](source, field.name))
+            coercions.append({"text": text_steps}[field.kind](source, field.name))
         else:
             coercions.append(field.kind(source, field.name))
     typed = add_typed(df, *coercions)

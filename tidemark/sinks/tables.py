@@ -15,7 +15,8 @@ a run writes shows with its success.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection, Sequence
+from collections.abc import Callable, Collection, Iterator, Sequence
+from contextlib import contextmanager
 
 from functools import reduce
 from operator import or_
@@ -27,6 +28,8 @@ from tidemark.schemas import BUCKETS, CORE, PARTITIONS, REJECT, STAGING
 READY = "_READY"
 RUN = "_RUN="
 EMPTY = "_EMPTY"
+WRITE_BYTES = "16MB"
+"""What a task of a rebalanced write gets of the shuffle, unless the session says otherwise."""
 _REJECTED = T.StructField("rejected", T.BooleanType())
 
 
@@ -185,7 +188,8 @@ class Tables:
         writer = counted.write.mode("overwrite")
         if parts:
             writer = writer.partitionBy(*parts)
-        writer.parquet(self._path(name, version))
+        with _small_parts(self.spark):
+            writer.parquet(self._path(name, version))
         self._publish(name, version, run)
         return counts()
 
@@ -246,12 +250,9 @@ class Tables:
         current = self._current(name)
         version = (self._versions(name, ready=False) or [0])[-1] + 1 if current is None else current
         counted, counts = _counted(_spread(df, parts), measures)
-        (
-            counted.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*parts)
-            .parquet(self._path(name, version))
-        )
+        writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
+        with _small_parts(self.spark):
+            writer.parquet(self._path(name, version))
         if current is None:
             self._publish(name, version)
         return counts()
@@ -265,6 +266,20 @@ def _counted(df: DataFrame, measures: dict[str, Column] | None = None):
     return df.observe(seen, *totals), lambda: seen.get
 
 
+@contextmanager
+def _small_parts(spark: SparkSession) -> Iterator[None]:
+    """Lets a month with many rows be written by many tasks; a write is slower than the shuffle before it."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    if spark.conf.get(key, None) is not None:
+        yield
+        return
+    spark.conf.set(key, WRITE_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)
+
+
 def _spread(df: DataFrame, parts: Sequence[str]) -> DataFrame:
     """Files per month and not per month and task.
 
